@@ -180,7 +180,7 @@ def painful_stations(
 def _not_negative(name: str) -> Column:
     value = F.col(name)
     return F.when(
-        value < 0, F.raise_error(F.lit(f"negative {name} in pain score input")).cast("double")
+        value < 0, F.raise_error(F.lit(f"negative {name} in pain score input"))
     ).otherwise(value)
 
 

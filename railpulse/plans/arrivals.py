@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,24 +110,25 @@ def check_delays(spark: SparkSession, lake: Lake, as_of: datetime, **thresholds)
 def build_day(spark: SparkSession, lake: Lake, ymd: str) -> None:
     """Enriched events and station KPI of one day.
 
-    The events are used twice, so they are kept (spilling to disk) for the run. A
-    lost executor's part is rebuilt from silver.
+    The KPI reads the stored events back, and of them only the columns it needs.
     """
     day = day_parts(ymd)._asdict()
     silver = read_table(spark, lake.silver_arrivals, format=lake.format, where=day)
-    events = enrich_events(silver).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        replace_partition(
-            events, lake.arrival_events, day, partition_by=S.USAGE_PARTITION, format=lake.format
-        )
-        stamped = station_kpi(events).withColumns(
-            {name: F.lit(value) for name, value in day.items()}
-        )
-        replace_partition(
-            stamped, lake.station_kpi, day, partition_by=S.USAGE_PARTITION, format=lake.format
-        )
-    finally:
-        events.unpersist()
+    replace_partition(
+        enrich_events(silver),
+        lake.arrival_events,
+        day,
+        partition_by=S.USAGE_PARTITION,
+        format=lake.format,
+    )
+    events = read_table(spark, lake.arrival_events, format=lake.format, where=day)
+    replace_partition(
+        station_kpi(events).withColumns({name: F.lit(value) for name, value in day.items()}),
+        lake.station_kpi,
+        day,
+        partition_by=S.USAGE_PARTITION,
+        format=lake.format,
+    )
 
 
 def backfill_kpi(spark: SparkSession, lake: Lake, where: Column | None = None) -> DataFrame:

@@ -33,12 +33,18 @@ def overwrite(df: DataFrame, root: str, *, format: str = "parquet") -> None:
     df.write.format(format).mode("overwrite").save(root)
 
 
-def overwrite_table(df: DataFrame, name: str, *, sort_within: Sequence[str] = ()) -> None:
-    """Replace a catalog table. ``sort_within`` orders rows inside files, which
-    sharpens file statistics; a global order would not outlive the write."""
+def overwrite_table(
+    df: DataFrame, name: str, *, sort_within: Sequence[str] = (), path: str | None = None
+) -> None:
+    """Replace a catalog table, kept at ``path`` when one is given. ``sort_within``
+    orders rows inside files, which sharpens file statistics; a global order would
+    not outlive the write."""
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def overwrite_small(df: DataFrame, root: str, *, files: int = 1) -> None:

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from railpulse.functions.columns import conform
 
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
 
 def partition_predicate(values: Mapping[str, object]) -> Column:
     """All partition columns equal the given values."""
@@ -55,12 +57,13 @@ def read_if_present(
 ) -> tuple[DataFrame, bool]:
     """The table and True, or an empty frame of the declared schema and False.
 
-    Only a missing path or table counts as absent; any other failure is raised.
+    Only a missing path or table, or one without files, counts as absent; any other
+    failure is raised.
     """
     try:
         return conform(read_table(spark, root, **read_args), schema), True
     except AnalysisException as error:
-        if error.getCondition() not in {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}:
+        if error.getCondition() not in ABSENT:
             raise
         return spark.createDataFrame([], schema), False
 
