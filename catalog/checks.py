@@ -341,7 +341,7 @@ FROM customer""",
     "arrival_events_enriched": _with(EVENTS, " SELECT * FROM enriched"),
     "station_daily_kpi": _with(KPI, KPI_ROWS),
     "station_daily_kpi_join": _with(KPI, KPI_ROWS),
-    "station_kpi_exact": _with(
+    "line_daily_kpi": _with(
         EVENTS,
         """
 SELECT event_date, line_id, count(*) AS total_events,
@@ -613,6 +613,7 @@ SELECT 'purchase:' || strftime(ts, '%Y%m%d') AS "key", strftime(ts, '%Y%m%d') AS
        || '- position: gold/position/dt=' || strftime(ts, '%Y%m%d') || chr(10) AS content
 FROM events WHERE event_type = 'purchase'"""
 
+SQL["arrival_metrics_one_pass"] = SQL["arrival_metrics_15m"]
 SQL["event_filter"] = NOTIFICATIONS
 SQL["stream_event_filter"] = NOTIFICATIONS
 SQL["usage_daily_total_top20_sql"] = SQL["usage_daily_total_top20"]

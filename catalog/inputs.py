@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railpulse.functions.times import hour_part_columns
+from railpulse.sources.tables import spread
 
 EXPRESS = ("purchase",)
 
 
+SPREAD_BY = {"events": "event_id", "lineitem": "l_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; the large ones spread over all cores when in one small file."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
 
 
 def _k() -> Column:

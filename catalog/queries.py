@@ -27,7 +27,7 @@ from railpulse.operators.drift import union_drifting
 from railpulse.session import shared_folder
 from railpulse.sinks.compaction import compact
 from railpulse.sinks.messages import publish_to_folder, ready_messages
-from railpulse.sinks.tables import append, overwrite_table, replace_partition
+from railpulse.sinks.tables import append, overwrite_table, replace_partition, stored
 from railpulse.sources import reference
 from railpulse.sources.envelopes import unpack_arrivals, unpack_usage
 from railpulse.sources.listing import latest_partition
@@ -91,13 +91,19 @@ def _daily_metrics(spark, sf_dir):
     )
 
 
-def _report_sides(spark, sf_dir):
+def _gold(spark, sf_dir):
+    """The station KPI and station totals as stored gold tables."""
     return (
-        report.kpi_by_report_day(_kpi(spark, sf_dir)),
-        report.usage_by_report_day(_station_usage(spark, sf_dir)),
+        stored(_kpi(spark, sf_dir), "station-kpi"),
+        stored(_station_usage(spark, sf_dir), "station-usage"),
     )
 
 
+def _report_sides(spark, sf_dir):
+    kpi, usage = _gold(spark, sf_dir)
+    return report.kpi_by_report_day(kpi), report.usage_by_report_day(usage)
+
+
 def _reference(spark, sf_dir):
     return I.station_reference(
         I.table(spark, sf_dir, "supplier"), I.table(spark, sf_dir, "nation")
@@ -186,6 +192,12 @@ def arrival_metrics_15m(spark, sf_dir):
     return metrics.sliding_metrics(metrics.with_event_time(_arrivals(spark, sf_dir)))
 
 
+@query
+def arrival_metrics_one_pass(spark, sf_dir):
+    """The aggregation a stream runs, over a batch."""
+    return metrics.metrics_in_one_pass(metrics.with_event_time(_arrivals(spark, sf_dir)))
+
+
 @query
 def arrival_metrics_15m_single_window(spark, sf_dir):
     return metrics.window_metrics(
@@ -209,9 +221,9 @@ def station_daily_kpi_join(spark, sf_dir):
 
 
 @query
-def station_kpi_exact(spark, sf_dir):
-    """The KPI with exact percentiles over wide groups, whole lines per day."""
-    return stations.station_kpi(_events(spark, sf_dir), keys=("event_date", "line_id"), exact=True)
+def line_daily_kpi(spark, sf_dir):
+    """The KPI over wide groups, whole lines per day."""
+    return stations.station_kpi(_events(spark, sf_dir), keys=("event_date", "line_id"))
 
 
 # --- alerts ---------------------------------------------------------------------------------
@@ -230,7 +242,7 @@ def delayed_station_topk(spark, sf_dir):
 @query
 def delay_alert(spark, sf_dir):
     raised = alerts.delay_alerts(
-        _daily_metrics(spark, sf_dir), p90_sec=ALERT_P90_SEC, min_samples=ALERT_MIN_SAMPLES
+        stored(_daily_metrics(spark, sf_dir), "metrics"), p90_sec=ALERT_P90_SEC, min_samples=ALERT_MIN_SAMPLES
     )
     return raised.withColumns(
         {
@@ -279,7 +291,8 @@ def usage_daily_total_top20_sql(spark, sf_dir):
 
 @query
 def top_stations_ranked(spark, sf_dir):
-    return ridership.with_daily_rank(_station_usage(spark, sf_dir)).select(
+    usage = stored(_station_usage(spark, sf_dir), "station-usage")
+    return ridership.with_daily_rank(usage).select(
         "pasngYmd", "stnNm", "lineNm", "totalNope", "rank_daily"
     )
 
@@ -294,7 +307,7 @@ def top_stations(spark, sf_dir):
 
 @query
 def top_stations_by_day(spark, sf_dir):
-    _, usage = _report_sides(spark, sf_dir)
+    usage = report.usage_by_report_day(_station_usage(spark, sf_dir))
     return report.top_stations(usage, within=BY_DAY, position="position")
 
 
@@ -310,7 +323,7 @@ def line_wait_stats(spark, sf_dir):
 
 @query
 def painful_stations(spark, sf_dir):
-    return report.painful_stations(_kpi(spark, sf_dir), _station_usage(spark, sf_dir))
+    return report.painful_stations(*_gold(spark, sf_dir))
 
 
 @query

@@ -1,7 +1,8 @@
-"""Sliding arrival metrics, shared by batch and streaming."""
+"""Sliding arrival metrics."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -13,47 +14,58 @@ from railpulse.functions.flags import any_true, share_at_least
 from railpulse.functions.times import (
     Window,
     first_time,
+    floor_time,
     hour_part_columns,
     minute_key,
     window_ending_at,
 )
+from railpulse.operators.percentiles import (
+    ROWS,
+    count_values,
+    mean_from_counts,
+    percentile_from_counts,
+    share_of_rows,
+    with_running_counts,
+)
 
 TIME_COLUMNS = ("event_time", "snapshot_ts")
+WAIT = "arrival_seconds"
+_LAST = "_last_train"
 
 
-def percentile_of(column: str, share: float, accuracy: int, *, exact: bool = False) -> Column:
-    """Aggregate: the discrete percentile as a long, null for a group without values.
-
-    The approximate form keeps a mergeable summary per group, with rank error at
-    most rows / accuracy. The exact form keeps a count per distinct value.
-    """
-    if exact:
-        picked = F.expr(f"percentile_disc({share}) within group (order by {column})")
-    else:
-        picked = F.percentile_approx(column, share, accuracy)
-    return picked.cast("bigint")
+def with_event_time(arrivals: DataFrame, time_columns: Sequence[str] = TIME_COLUMNS) -> DataFrame:
+    """Add ``event_ts``, the first known of the time columns."""
+    return arrivals.withColumn("event_ts", first_time(*time_columns))
 
 
-def metric_aggregates(
+def metrics_in_one_pass(
+    timed: DataFrame,
     *,
+    minutes: int = S.WINDOW_MINUTES,
+    slide: int = S.SLIDE_MINUTES,
+    keys: Sequence[str] = S.METRIC_KEYS,
+    min_n: int = S.MIN_SAMPLES,
     long_wait_sec: int = S.VERY_LONG_WAIT_SEC,
     percentile: float = S.METRIC_PERCENTILE,
     accuracy: int = S.METRIC_ACCURACY,
-    exact: bool = False,
-) -> list[Column]:
-    wait = F.col("arrival_seconds")
-    return [
+) -> DataFrame:
+    """Metrics of every window in a single aggregation, the form a stream can run.
+
+    Each event is repeated for the minutes/slide windows it falls in. The percentile
+    is approximate, its rank off by at most rows / accuracy.
+    """
+    metrics = timed.groupBy(
+        F.window("event_ts", f"{minutes} minutes", f"{slide} minutes").alias("window"), *keys
+    ).agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(wait).alias("avg_eta_sec"),
-        percentile_of("arrival_seconds", percentile, accuracy, exact=exact).alias("p90_eta_sec"),
-        share_at_least(wait, long_wait_sec).alias("long_ratio_10m"),
+        F.avg(WAIT).alias("avg_eta_sec"),
+        F.percentile_approx(WAIT, percentile, accuracy).cast("bigint").alias("p90_eta_sec"),
+        share_at_least(F.col(WAIT), long_wait_sec).alias("long_ratio_10m"),
         any_true(F.col("is_last_train")).alias("last_train_seen"),
-    ]
-
-
-def with_event_time(arrivals: DataFrame, time_columns: Sequence[str] = TIME_COLUMNS) -> DataFrame:
-    """Add ``event_ts``, the first known of the time columns."""
-    return arrivals.withColumn("event_ts", first_time(*time_columns))
+    )
+    return _with_window_columns(
+        metrics, F.col("window.start"), F.col("window.end"), keys, minutes, min_n
+    )
 
 
 def sliding_metrics(
@@ -63,18 +75,30 @@ def sliding_metrics(
     slide: int = S.SLIDE_MINUTES,
     keys: Sequence[str] = S.METRIC_KEYS,
     min_n: int = S.MIN_SAMPLES,
-    **aggregate_args,
+    long_wait_sec: int = S.VERY_LONG_WAIT_SEC,
+    percentile: float = S.METRIC_PERCENTILE,
 ) -> DataFrame:
-    """Metrics of every window that holds an event, from a batch or stream with ``event_ts``.
+    """Metrics of every window that holds an event, over a batch with ``event_ts``.
 
-    Each event falls in minutes/slide windows. Groups are combined on the map side
-    before the one shuffle on (window, keys).
+    Events are counted once per pane, the longest slot that divides both window and
+    slide, and only pane counts are repeated for the windows over them. A window
+    then holds a value once per pane at most, which the running count allows for.
     """
-    metrics = timed.groupBy(
-        F.window("event_ts", f"{minutes} minutes", f"{slide} minutes").alias("window"), *keys
-    ).agg(*metric_aggregates(**aggregate_args))
+    pane = math.gcd(minutes, slide)
+    panes = count_values(
+        timed.where(F.col("event_ts").isNotNull()).withColumn(
+            "_pane", floor_time(F.col("event_ts"), pane)
+        ),
+        ["_pane", *keys],
+        WAIT,
+        F.bool_or("is_last_train").alias(_LAST),
+    )
+    windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes")
+    counts = panes.withColumn("_window", windows).withColumn("_end", F.col("_window.end"))
+    metrics = _from_counts(counts, ["_end", *keys], long_wait_sec, percentile)
+    length = F.expr(f"interval {minutes} minutes")
     return _with_window_columns(
-        metrics, F.col("window.start"), F.col("window.end"), keys, minutes, min_n
+        metrics, F.col("_end") - length, F.col("_end"), keys, minutes, min_n
     )
 
 
@@ -87,7 +111,8 @@ def window_metrics(
     keys: Sequence[str] = S.METRIC_KEYS,
     min_n: int = S.MIN_SAMPLES,
     time_columns: Sequence[str] = TIME_COLUMNS,
-    **aggregate_args,
+    long_wait_sec: int = S.VERY_LONG_WAIT_SEC,
+    percentile: float = S.METRIC_PERCENTILE,
 ) -> DataFrame:
     """Metrics of the newest complete window at ``as_of``.
 
@@ -100,12 +125,31 @@ def window_metrics(
     else:
         timed = with_event_time(arrivals, time_columns)
         rows = timed.where(window.holds(F.col("event_ts")))
-    metrics = rows.groupBy(*keys).agg(*metric_aggregates(**aggregate_args))
+    counts = count_values(rows, keys, WAIT, F.bool_or("is_last_train").alias(_LAST))
+    metrics = _from_counts(counts, list(keys), long_wait_sec, percentile)
     return _with_window_columns(
         metrics, F.lit(window.start), F.lit(window.end), keys, minutes, min_n
     )
 
 
+def _from_counts(
+    counts: DataFrame, group: Sequence[str], long_wait_sec: int, percentile: float
+) -> DataFrame:
+    return (
+        with_running_counts(counts, group, WAIT)
+        .groupBy(*group)
+        .agg(
+            F.sum(ROWS).alias("n"),
+            mean_from_counts(WAIT).alias("avg_eta_sec"),
+            percentile_from_counts(WAIT, percentile).alias("p90_eta_sec"),
+            share_of_rows(
+                F.when(F.col(WAIT) >= long_wait_sec, F.col(ROWS)).otherwise(0)
+            ).alias("long_ratio_10m"),
+            any_true(F.col(_LAST)).alias("last_train_seen"),
+        )
+    )
+
+
 def hours_touching(window: Window, lateness_hours: int = 0) -> Column:
     """Predicate on hour partitions that may hold rows of a window, allowing for
     rows landed up to some hours after their event."""

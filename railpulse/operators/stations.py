@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from railpulse import settings as S
 from railpulse.functions.flags import arrival_phase, as_flag, at_least, one_of
 from railpulse.functions.times import first_time
-from railpulse.operators.metrics import percentile_of
+from railpulse.operators.percentiles import (
+    ROWS,
+    count_values,
+    mean_from_counts,
+    percentile_from_counts,
+    share_of_rows,
+    with_running_counts,
+)
 
 
 def enrich_events(
@@ -52,49 +59,73 @@ def enrich_events(
     )
 
 
-def _service_aggregates(percentile: float, accuracy: int, exact: bool) -> list[Column]:
+WAIT = "wait_sec"
+_SUMMED = {"_long": "is_long_wait_5", "_express": "is_express", "_late": "is_late_night"}
+
+
+def _last_train_counts() -> list[Column]:
+    last = F.col("is_last_train")
     return [
-        F.count(F.lit(1)).alias("total_events"),
-        F.avg("wait_sec").alias("avg_wait_sec"),
-        percentile_of("wait_sec", percentile, accuracy, exact=exact).alias("p95_wait_sec"),
-        F.avg("is_long_wait_5").alias("long_wait_ratio_5"),
-        F.avg("is_express").alias("express_ratio"),
-        F.sum("is_late_night").alias("late_night_events"),
+        F.count_if(last).alias("_last_rows"),
+        F.max(F.when(last, F.col("event_dt"))).alias("_last_dt"),
     ]
 
 
-def _last_train_aggregates(only: Column | None = None) -> list[Column]:
-    def of(name: str) -> Column:
-        return F.col(name) if only is None else F.when(only, F.col(name))
-
+def _last_train_columns() -> list[Column]:
     return [
-        F.max(of("event_dt")).alias("last_train_dt"),
-        F.avg(of("wait_sec")).alias("last_train_wait_sec"),
+        F.max("_last_dt").alias("last_train_dt"),
+        mean_from_counts(WAIT, "_last_rows").alias("last_train_wait_sec"),
     ]
 
 
+def _kpi(
+    events: DataFrame,
+    keys: Sequence[str],
+    percentile: float,
+    counted: Sequence[Column] = (),
+    shown: Sequence[Column] = (),
+) -> DataFrame:
+    sums = [F.sum(flag).alias(name) for name, flag in _SUMMED.items()]
+    counts = count_values(events, keys, WAIT, *sums, *counted)
+    return (
+        with_running_counts(counts, keys, WAIT)
+        .groupBy(*keys)
+        .agg(
+            F.sum(ROWS).alias("total_events"),
+            mean_from_counts(WAIT).alias("avg_wait_sec"),
+            percentile_from_counts(WAIT, percentile).alias("p95_wait_sec"),
+            share_of_rows(F.col("_long")).alias("long_wait_ratio_5"),
+            share_of_rows(F.col("_express")).alias("express_ratio"),
+            F.sum("_late").alias("late_night_events"),
+            *shown,
+        )
+    )
+
+
 def station_kpi(
     events: DataFrame,
     *,
     keys: Sequence[str] = S.KPI_KEYS,
     percentile: float = S.KPI_PERCENTILE,
-    accuracy: int = S.KPI_ACCURACY,
-    exact: bool = False,
 ) -> DataFrame:
-    """Daily KPI per station and line in one pass: one scan, one shuffle.
+    """Daily KPI per station and line from one scan.
 
-    Last-train columns come from conditional aggregates, so a group with a null
-    key keeps them.
+    Events are counted per (keys, wait) first, so a hot station shuffles as at most
+    one row per distinct wait and map task. Last-train columns come from conditional
+    aggregates, so a group with a null key keeps them.
     """
-    return events.groupBy(*keys).agg(
-        *_service_aggregates(percentile, accuracy, exact),
-        *_last_train_aggregates(F.col("is_last_train")),
-    )
+    return _kpi(events, keys, percentile, _last_train_counts(), _last_train_columns())
 
 
 def last_train_stats(events: DataFrame, *, keys: Sequence[str] = S.KPI_KEYS) -> DataFrame:
     """Last-train time and mean wait over last trains only."""
-    return events.where("is_last_train").groupBy(*keys).agg(*_last_train_aggregates())
+    return (
+        events.where("is_last_train")
+        .groupBy(*keys)
+        .agg(
+            F.max("event_dt").alias("last_train_dt"), F.avg(WAIT).alias("last_train_wait_sec")
+        )
+    )
 
 
 def station_kpi_joined(
@@ -102,16 +133,15 @@ def station_kpi_joined(
     *,
     keys: Sequence[str] = S.KPI_KEYS,
     percentile: float = S.KPI_PERCENTILE,
-    accuracy: int = S.KPI_ACCURACY,
-    exact: bool = False,
 ) -> DataFrame:
     """The KPI as a left join of two aggregates on the same keys.
 
     Both sides are already partitioned by the keys, so the join adds no shuffle.
     A null key never matches: such a group has no last-train values.
     """
-    service = events.groupBy(*keys).agg(*_service_aggregates(percentile, accuracy, exact))
-    return service.join(last_train_stats(events, keys=keys), list(keys), "left")
+    return _kpi(events, keys, percentile).join(
+        last_train_stats(events, keys=keys), list(keys), "left"
+    )
 
 
 def join_stations(facts: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:

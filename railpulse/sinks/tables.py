@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from railpulse.session import shared_folder
 from railpulse.sources.tables import partition_predicate
 
 
@@ -20,6 +21,17 @@ def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    For a result that several branches of a plan read: it is computed once, each
+    branch reads just its columns, and a lost executor costs a re-read.
+    """
+    root = shared_folder(df.sparkSession, label)
+    df.write.parquet(root)
+    return df.sparkSession.read.schema(df.schema).parquet(root)
+
+
 def append(
     df: DataFrame, root: str, *, partition_by: Sequence[str] = (), format: str = "parquet"
 ) -> None:

@@ -44,13 +44,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split(parsed: DataFrame, reason: Column, items: Column, keep: list[str]) -> Unpacked:
-    judged = parsed.withColumn("reason", reason)
-    rows = (
-        judged.where(F.col("reason").isNull())
-        .select(*keep, F.explode(items).alias("item"))
-        .select(*keep, "item.*")
-    )
-    rejects = judged.where(F.col("reason").isNotNull()).select(*keep, "body", "reason")
+    # A filter on the reason would be pushed below the parse and repeat it for every
+    # field it looks at; an unaccepted document explodes to nothing instead.
+    accepted = F.when(reason.isNull(), items)
+    rows = parsed.select(*keep, F.explode(accepted).alias("item")).select(*keep, "item.*")
+    refused = F.when(reason.isNotNull(), F.array(F.struct("body", reason.alias("reason"))))
+    rejects = parsed.select(*keep, F.inline(refused))
     return Unpacked(rows, rejects)
 
 

@@ -1,4 +1,4 @@
-"""Arrival metrics over a stream, from the same aggregates as the batch form."""
+"""Arrival metrics and deduplication over a stream."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from railpulse.operators.metrics import TIME_COLUMNS, sliding_metrics, with_event_time
+from railpulse.operators.metrics import TIME_COLUMNS, metrics_in_one_pass, with_event_time
 
 
 def metrics_stream(
@@ -23,7 +23,7 @@ def metrics_stream(
     re-run of the window.
     """
     timed = with_event_time(arrivals, time_columns).withWatermark("event_ts", delay)
-    return sliding_metrics(timed, **metric_args)
+    return metrics_in_one_pass(timed, **metric_args)
 
 
 def distinct_stream(
