@@ -1,0 +1,65 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from railpulse.functions.columns import MissingColumnsError
+from railpulse.operators import ridership as R
+from tests.helpers import plan_of, rows
+
+SILVER = "use_ymd string, station_name string, line_name string, ride_count bigint, alight_count bigint, total_count bigint"
+
+
+def test_totals_in_both_naming_forms(spark):
+    silver = spark.createDataFrame(
+        [("d1", "A", "1", 1, 2, 3), ("d1", "A", "1", 4, 5, 9), ("d1", "A", "2", 1, 1, 2)], SILVER
+    )
+    totals = R.station_totals(silver)
+    assert totals.columns == [
+        "pasngYmd", "stnNm", "lineNm", "totalNope", "rideNope", "gffNope", "stnCd", "lineNo",
+    ]
+    assert rows(totals) == [
+        ("d1", "A", "1", 12, 5, 7, None, None), ("d1", "A", "2", 2, 1, 1, None, None),
+    ]
+    # The source's own names, with codes and without the two parts.
+    named = spark.createDataFrame(
+        [("d1", "A", "1", "01", "L1", 3), ("d1", "A", "1", "02", "L1", 4)],
+        "pasngYmd string, stnNm string, lineNm string, stnCd string, lineNo string, totalNope bigint",
+    )
+    assert rows(R.station_totals(named), "stnCd", "lineNo", "totalNope") == [
+        ("01", "L1", 3), ("02", "L1", 4),
+    ]
+    assert "rideNope" not in R.station_totals(named).columns
+    assert rows(R.line_totals(named)) == [("d1", "1", "L1", 7)]
+    assert R.line_totals(silver).columns == [
+        "pasngYmd", "lineNm", "totalNope", "rideNope", "gffNope", "lineNo",
+    ]
+
+
+def test_required_column_missing(spark):
+    with pytest.raises(MissingColumnsError, match="total"):
+        R.station_totals(spark.createDataFrame([("d", "A", "1")], "use_ymd string, stnNm string, lineNm string"))
+
+
+def test_busiest_and_rank(spark):
+    silver = spark.createDataFrame(
+        [("d1", n, "1", 0, 0, v) for n, v in (("A", 5), ("B", 5), ("C", 9), ("D", 1))]
+        + [("d2", "A", "1", 0, 0, 2)],
+        SILVER,
+    )
+    top = R.busiest(R.daily_totals(silver, "station_name"), k=2)
+    assert [tuple(r) for r in top.collect()] == [("d1", "C", 9), ("d1", "A", 5)]
+    assert "TakeOrderedAndProject" in plan_of(top)
+    ranked = R.with_daily_rank(R.station_totals(silver))
+    assert rows(ranked, "pasngYmd", "stnNm", "rank_daily") == [
+        ("d1", "A", 2), ("d1", "B", 2), ("d1", "C", 1), ("d1", "D", 4), ("d2", "A", 1),
+    ]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["d1", "d2"]), st.sampled_from("ABC"), st.sampled_from("12"),
+                          st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=20))
+def test_station_and_line_totals_agree(spark, data):
+    silver = spark.createDataFrame([(*r, r[3] + r[4]) for r in data], SILVER)
+    stations = R.station_totals(silver).groupBy("pasngYmd", "lineNm").sum("totalNope", "rideNope")
+    lines = R.line_totals(silver).select("pasngYmd", "lineNm", "totalNope", "rideNope")
+    assert rows(stations) == rows(lines)
