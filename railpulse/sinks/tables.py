@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.session import shared_folder
-from railpulse.sources.tables import partition_predicate
+from railpulse.sources.tables import ABSENT, partition_predicate, read_table
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -107,7 +108,7 @@ def replace_partition(
     )
     if format == "delta":
         writer.option("replaceWhere", _as_sql(values)).save(root)
-        return observation.get["rows"]
+        return _observed_rows(observation, spark, root, values, format)
 
     before = _folders_of(spark, root, values)
     writer.option("partitionOverwriteMode", "dynamic").save(root)
@@ -115,7 +116,23 @@ def replace_partition(
         after = _folders_of(spark, root, values)
         # A folder that still holds its old file was not reached by the new rows.
         _remove_folders(spark, (f for f, file in before.items() if after.get(f) == file))
-    return observation.get["rows"]
+    return _observed_rows(observation, spark, root, values, format)
+
+
+def _observed_rows(
+    observation: Observation, spark: SparkSession, root: str, values: Mapping[str, object], format: str
+) -> int:
+    """Rows counted during the write. A plan found to be empty loses its counter;
+    then the (empty) partitions are asked."""
+    try:
+        return observation.get["rows"]
+    except (Py4JJavaError, KeyError):
+        try:
+            return read_table(spark, root, format=format, where=values).count()
+        except AnalysisException as error:
+            if error.getCondition() not in ABSENT:
+                raise
+            return 0
 
 
 def _only_within(df: DataFrame, predicate: Column, root: str) -> DataFrame:
