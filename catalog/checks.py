@@ -585,7 +585,7 @@ SELECT strftime(min(o_orderdate), '%Y') AS "year", strftime(min(o_orderdate), '%
 FROM orders""",
     "compaction_roundtrip": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS "year", CAST(month(o_orderdate) AS INTEGER) AS "month",
-       count(*) AS orders, round(sum(o_totalprice), 6) AS price
+       count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS price
 FROM orders GROUP BY 1, 2""",
     "catalog_table_roundtrip": _with(
         USAGE,

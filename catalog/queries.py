@@ -255,7 +255,8 @@ def delay_alert(spark, sf_dir):
 @query
 def missing_windows(spark, sf_dir):
     timed = metrics.with_event_time(_arrivals(spark, sf_dir))
-    return alerts.missing_windows(metrics.sliding_metrics(timed)).drop("alert_text")
+    ends = metrics.sliding_metrics(timed).select("window_end_ts").distinct()
+    return alerts.missing_windows(stored(ends, "window-ends")).drop("alert_text")
 
 
 # --- ridership gold ---------------------------------------------------------------------------
@@ -582,7 +583,10 @@ def compaction_roundtrip(spark, sf_dir):
     return (
         read_table(spark, target)
         .groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("price"))
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("price"),
+        )
     )
 
 

@@ -60,49 +60,53 @@ def rank_within(
     measure: str,
     *,
     name: str = "rank_daily",
-    slices: int = 64,
+    slices: int = 16,
 ) -> DataFrame:
     """Add the descending competition rank of a measure within each group.
 
-    A plain ``rank()`` sorts a whole group in one task. Here equal values are
-    counted first, each group's values are cut into slices of similar size, and a
-    value's rank is one more than the rows in higher slices plus the rows above it
-    in its own slice. No task holds more than one slice; the running totals hold
-    one row per slice. Rows with a null measure get no rank.
+    A plain ``rank()`` sorts a whole group in one task. Here each group's rows are cut
+    into slices of similar size by value. A value's rank is one more than the rows in
+    higher slices plus the rows above it in its own slice, where equal values have
+    been counted into one row. No task holds more than one slice's distinct values;
+    the running totals hold one row per slice. Rows with a null measure get no rank.
+
+    The frame is read four times, each time but the last for two columns: pass a
+    stored table.
     """
     within = list(within)
-    levels = (
-        df.where(F.col(measure).isNotNull())
-        .groupBy(*within, measure)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    cuts = levels.groupBy(*within).agg(
+    known = df.where(F.col(measure).isNotNull()).select(*within, measure)
+    cuts = known.groupBy(*within).agg(
         F.percentile_approx(measure, [i / slices for i in range(1, slices)]).alias("_cuts")
     )
-    sliced = _join_null_safe(levels, cuts, within).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(measure)))
-    ).drop("_cuts")
-
-    rows_above = F.sum("_rows").over(
-        Window.partitionBy(*within)
-        .orderBy(F.col("_slice").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    sliced = _join_null_safe(known, cuts, within).select(
+        *within,
+        measure,
+        F.size(F.filter("_cuts", lambda cut: cut < F.col(measure))).alias("_slice"),
     )
+
+    def running(over: Window) -> Column:
+        total = F.sum("_rows").over(over.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(total, F.lit(0))
+
+    counted = F.count(F.lit(1)).alias("_rows")
+    higher_slices = Window.partitionBy(*within).orderBy(F.col("_slice").desc())
     offsets = (
         sliced.groupBy(*within, "_slice")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(*within, "_slice", F.coalesce(rows_above, F.lit(0)).alias("_offset"))
+        .agg(counted)
+        .select(*within, "_slice", running(higher_slices).alias("_offset"))
+    )
+    above_in_slice = Window.partitionBy(*within, "_slice").orderBy(F.col(measure).desc())
+    # Partitioned by slice outright: left to itself, an earlier join on the group could
+    # leave all slices of a group in one task.
+    levels = (
+        sliced.groupBy(*within, "_slice", measure)
+        .agg(counted)
+        .repartition(*within, "_slice")
+        .withColumn("_above", running(above_in_slice))
     )
-    above_in_slice = F.sum("_rows").over(
-        Window.partitionBy(*within, "_slice")
-        .orderBy(F.col(measure).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    ranks = _join_null_safe(levels, offsets, [*within, "_slice"]).select(
+        *within, measure, (F.col("_offset") + F.col("_above") + 1).alias(name)
     )
-    ranks = _join_null_safe(
-        sliced.withColumn("_above", F.coalesce(above_in_slice, F.lit(0))),
-        offsets,
-        [*within, "_slice"],
-    ).select(*within, measure, (F.col("_offset") + F.col("_above") + 1).alias(name))
     return _join_null_safe(df, ranks, [*within, measure], how="left")
 
 

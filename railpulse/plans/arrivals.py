@@ -20,7 +20,12 @@ from railpulse.sources.envelopes import failed_envelopes, unpack_arrivals
 from railpulse.sources.listing import latest_partition
 from railpulse.sources.tables import read_table
 
-METRIC_PARTITION = (*S.ARRIVAL_PARTITION, "window_end_ymdhm")
+METRICS_SCHEMA = (
+    "station_id bigint, station_name string, line_id bigint, updn_line string, n bigint, "
+    "avg_eta_sec double, p90_eta_sec bigint, long_ratio_10m double, last_train_seen boolean, "
+    "window_start_ts timestamp, window_end_ts timestamp, window_minutes int, min_n int, "
+    "year int, month int, day int, hour int, window_end_ymdhm string"
+)
 
 
 def land_snapshot(documents: DataFrame, lake: Lake, snapshot: Column) -> None:
@@ -80,7 +85,7 @@ def refresh_metrics(
         metrics,
         lake.arrival_metrics,
         _window_partition(window.end),
-        partition_by=METRIC_PARTITION,
+        partition_by=S.METRIC_PARTITION,
         format=lake.format,
         skip_empty=True,
     )
@@ -96,14 +101,17 @@ def _window_partition(end: datetime) -> dict[str, object]:
     }
 
 
+def read_metrics(spark: SparkSession, lake: Lake, where=None) -> DataFrame:
+    """Stored metrics. The declared schema keeps the window key text, which Spark
+    would otherwise take for a number, and spares reading file footers."""
+    return read_table(
+        spark, lake.arrival_metrics, format=lake.format, schema=METRICS_SCHEMA, where=where
+    )
+
+
 def check_delays(spark: SparkSession, lake: Lake, as_of: datetime, **thresholds) -> DataFrame:
     """Alert row, or none, of the newest complete window."""
-    stored = read_table(
-        spark,
-        lake.arrival_metrics,
-        format=lake.format,
-        where=_window_partition(window_ending_at(as_of).end),
-    )
+    stored = read_metrics(spark, lake, _window_partition(window_ending_at(as_of).end))
     return delay_alerts(stored, **thresholds)
 
 

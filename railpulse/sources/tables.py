@@ -33,7 +33,7 @@ def read_table(
     format: str = "parquet",
     where: Column | Mapping[str, object] | None = None,
     merge_schema: bool = False,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A table root, pruned by a predicate or by partition equality."""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from railpulse import settings as S
+from railpulse.sinks.messages import DELIVERY
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -57,7 +59,7 @@ def for_each_batch(
 
 
 def window_replacer(
-    root: str, partition_by: Sequence[str] = (*S.ARRIVAL_PARTITION, "window_end_ymdhm")
+    root: str, partition_by: Sequence[str] = S.METRIC_PARTITION
 ) -> BatchWriter:
     """A batch writer that replaces the partitions of the windows it receives.
 
@@ -73,12 +75,50 @@ def window_replacer(
     return write
 
 
-def alerting(judge: Callable[[DataFrame], DataFrame], deliver: Callable[[DataFrame], None]):
-    """A batch writer that hands the alert rows of a batch, if any, to ``deliver``."""
+def in_turn(*writers: BatchWriter) -> BatchWriter:
+    """A batch writer that hands each batch to several.
+
+    The batch is kept meanwhile; otherwise each writer would run the stream's
+    stateful operators again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts = judge(batch)
-        if not alerts.isEmpty():
-            deliver(alerts)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for writer in writers:
+                writer(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
+
+
+def alerting(
+    judge: Callable[[DataFrame], DataFrame], deliver: Callable[[DataFrame], None]
+) -> BatchWriter:
+    """A batch writer that hands the alert rows of a batch, if any, to ``deliver``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        alerts = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not alerts.isEmpty():
+                deliver(alerts)
+        finally:
+            alerts.unpersist()
+
+    return in_turn(write)
+
+
+def publish_stream(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Send a stream of key and value to a topic. Needs the Kafka connector."""
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .options(**DELIVERY)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )

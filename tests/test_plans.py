@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from railpulse.plans import arrivals as A
 from railpulse.plans import daily as D
+from railpulse.plans import live as L
 from railpulse.plans import ridership as R
 from railpulse.plans.lake import Lake
 from railpulse.session import shared_folder
@@ -38,7 +39,7 @@ def test_arrival_chain(spark, lake):
     as_of = at("2024-01-05 10:06:00")
     for _ in range(2):
         assert A.refresh_metrics(spark, lake, as_of) == 1
-        stored = read_table(spark, lake.arrival_metrics)
+        stored = A.read_metrics(spark, lake)
         # The window crosses the hour, and one row was filed an hour after its event.
         assert rows(stored, "station_name", "n", "p90_eta_sec", "long_ratio_10m", "last_train_seen") == [
             ("A", 4, 700, 0.5, True)
@@ -101,3 +102,23 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one.startswith(root) and one != two
+
+
+def test_live_chain_equals_batch_runs(spark, lake, folder):
+    for minute, wait in ((0, 700), (6, 650), (13, 100), (50, 90)):
+        A.land_snapshot(board(spark, (f"2024-01-05 09:{minute:02d}:00", wait, "0")), lake,
+                        F.lit(at(f"2024-01-05 09:{minute:02d}:30")))
+    delivered = []
+    for _ in range(2):  # the second run finds nothing new
+        L.watch_arrivals(
+            spark, lake, folder("state"), lambda found: delivered.extend(found.collect()),
+            every=None, min_total=2, min_samples=1,
+        ).awaitTermination()
+    live = rows(A.read_metrics(spark, lake), "window_end_ymdhm", "n", "p90_eta_sec")
+    assert live[0] == ("202401050905", 1, 700) and ("202401050915", 3, 700) in live
+    assert [a.total_n for a in delivered if a.window_end_ts == at("2024-01-05 09:15:00")] == [3]
+
+    A.refresh_silver(spark, lake)
+    A.refresh_metrics(spark, lake, at("2024-01-05 09:17:00"))
+    again = rows(A.read_metrics(spark, lake), "window_end_ymdhm", "n", "p90_eta_sec")
+    assert again == live
