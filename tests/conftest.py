@@ -17,7 +17,7 @@ def spark():
         zone="UTC",
         master="local[4]",
         conf={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": f"{base}/warehouse",
