@@ -18,15 +18,8 @@ from railpulse.functions.times import display_time, parse_day
 from railpulse.operators.ranking import top_k
 
 REPORT_DAY = "report_date"
-PAIN_COLUMNS = (
-    "station_name",
-    "line_id",
-    "avg_wait_sec",
-    "p95_wait_sec",
-    "long_wait_ratio_5",
-    "totalNope",
-    "pain_score",
-)
+WAIT_COLUMNS = ("station_name", "line_id", "avg_wait_sec", "p95_wait_sec", "long_wait_ratio_5")
+PAIN_COLUMNS = (*WAIT_COLUMNS, "totalNope", "pain_score")
 
 
 def usage_by_report_day(usage: DataFrame, *, lag_days: int = S.USAGE_LAG_DAYS) -> DataFrame:
@@ -126,7 +119,9 @@ def painful_stations(
     which waits and counts are; a negative one fails the job.
     """
     station = [*within, "station_name"]
-    waits = kpi.withColumn("avg_wait_sec", _not_negative("avg_wait_sec"))
+    waits = select_existing(kpi, [*within, *WAIT_COLUMNS]).withColumn(
+        "avg_wait_sec", _not_negative("avg_wait_sec")
+    )
     riders = (
         _bound(usage, within)
         .select(*station, "totalNope")
