@@ -6,10 +6,19 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railpulse.llm.decontaminate import contaminated
+from railpulse.llm.mixing import mix, word_count
+from railpulse.llm.secrets import find_secrets
 from railpulse.llm.simhash import near_duplicates
+from railpulse.llm.tokens import encoded
+from railpulse.sinks.tables import stored
+
+#: Vocabulary of the token shards, a file of the installed public tokenizers.
+TOKENIZER = "word_bpe_49k.json"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,3 +54,58 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@registered
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the secrets in every document."""
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@registered
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, read from the shards."""
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@registered
+def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix of sources takes."""
+    sized = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", word_count("text").alias("size")
+    )
+    return mix(stored(sized, "sized")).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).cast("bigint").alias("taken"),
+    )
+
+
+@registered
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains, with its edit distance."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
