@@ -15,6 +15,7 @@ from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.secrets import find_secrets
 from railpulse.llm.simhash import near_duplicates
 from railpulse.llm.tokens import encoded
+from railpulse.llm.toxicity import THRESHOLD, held_out, scored, train
 from railpulse.sinks.tables import stored
 
 #: Vocabulary of the token shards, a file of the installed public tokenizers.
@@ -109,3 +110,16 @@ def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document contains, with its edit distance."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, and whether its label could have been learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
