@@ -1,3 +1,22 @@
 """The same results in SQL, for the queries of this subpackage that SQL can express."""
 
-SQL: dict[str, str] = {}
+OP6 = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM sound WHERE vec_id % 50 = 0) q
+  JOIN sound c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT query_id, vec_id, score,
+    CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+SQL: dict[str, str] = {"op6_maxscore_top_k": OP6}

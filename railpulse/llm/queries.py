@@ -15,6 +15,7 @@ from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.secrets import find_secrets
 from railpulse.llm.simhash import near_duplicates
 from railpulse.llm.tokens import encoded
+from railpulse.llm.topk import top_k
 from railpulse.llm.toxicity import THRESHOLD, held_out, scored, train
 from railpulse.sinks.tables import stored
 
@@ -123,3 +124,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@registered
+def op6_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of highest inner product with every fiftieth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"))
