@@ -19,4 +19,29 @@ WITH sound AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL: dict[str, str] = {"op6_maxscore_top_k": OP6}
+OP8 = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT row, i, array_to_string(w[i:i + 34], ' ') AS seq
+  FROM words, unnest(range(1, len(w) - 33)) AS t(i)
+), again AS (
+  SELECT seq FROM windows GROUP BY seq HAVING count(*) > 1
+), hit AS (
+  SELECT DISTINCT row, i + k AS pos
+  FROM windows SEMI JOIN again USING (seq), unnest(range(0, 35)) AS t(k)
+), flat AS (
+  SELECT row, i AS pos, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+), kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n
+  FROM flat ANTI JOIN hit USING (row, pos) GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (row)
+"""
+
+SQL: dict[str, str] = {"op6_maxscore_top_k": OP6, "op8_repeated_passages": OP8}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.llm.decontaminate import contaminated
 from railpulse.llm.mixing import mix, word_count
+from railpulse.llm.repeats import without_repeats
 from railpulse.llm.secrets import find_secrets
 from railpulse.llm.simhash import near_duplicates
 from railpulse.llm.tokens import encoded
@@ -130,3 +131,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five vectors of highest inner product with every fiftieth vector."""
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in repeated passages, and a digest of the rest."""
+    found = without_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
