@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railpulse.llm import quality
 from railpulse.llm.decontaminate import contaminated
+from railpulse.llm.lmscore import cross_entropy_difference
 from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.repeats import without_repeats
 from railpulse.llm.secrets import find_secrets
@@ -138,3 +140,30 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in repeated passages, and a digest of the rest."""
     found = without_repeats(table(spark, sf_dir, "documents"), digest=True)
     return found.withColumnRenamed("kept", "kept_sha256")
+
+
+@registered
+def op9_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, and whether it would be kept."""
+    docs = table(spark, sf_dir, "documents")
+    views = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, views).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).alias("keep"),
+    )
+
+
+@registered
+def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much nearer every document is to the documents of good quality than to all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = (
+        table(spark, sf_dir, "labels")
+        .where("quality = 1")
+        .select(F.col("doc_id").alias("_good"))
+        .distinct()
+    )
+    marked = docs.join(good, F.col("doc_id") == F.col("_good"), "left")
+    return cross_entropy_difference(marked, F.col("_good").isNotNull())
