@@ -16,6 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from railpulse.sinks.tables import stored
 
@@ -75,8 +76,9 @@ class Pieces:
             self.search.add_word(piece, (len(piece), places))
         self.search.make_automaton()
 
-    def found(self, text: str) -> list[tuple[int, int]]:
-        """(item id, distance) of every item within its budget in a normal text."""
+    def found(self, text: str) -> list[tuple[object, int]]:
+        """(item id, distance) of every item within its budget in a normal text, in the
+        order of the block."""
         windows: dict[int, list[list[int]]] = defaultdict(list)
         for end, (length, places) in self.search.iter(text) if len(self.search) else ():
             for number, offset in places:
@@ -90,12 +92,28 @@ class Pieces:
                 else:
                     known.append([a, b])
         found = []
-        for number, spans in windows.items():
+        for number, spans in sorted(windows.items()):
             item, pattern, k = self.items[number]
             best = min(best_distance(pattern, text[a:b]) for a, b in spans)
             if best <= k:
                 found.append((item, best))
-        return sorted(found)
+        return found
+
+
+def _blocks(
+    benchmark: DataFrame, item_id: str, item_text: str, least_chars: int, block_bytes: int
+) -> Iterator[list[tuple[object, str]]]:
+    """The items in normal form, in blocks of about ``block_bytes`` by hash, one at a time."""
+    items = benchmark.select(
+        F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")
+    ).where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = total // block_bytes + 1
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    for number in range(blocks):
+        rows = items.where(block == number).toLocalIterator()
+        normals = ((r.item_id, normal(r.text)) for r in rows)
+        yield [(i, t) for i, t in normals if len(t) >= least_chars]
 
 
 def contaminated(
@@ -112,25 +130,20 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, distance) for every row and item it contains within the budget.
 
-    The benchmark is read in blocks of at most ``block_bytes``, by hash of its items, so
+    The benchmark is read in blocks of about ``block_bytes``, by hash of its items, so
     what is sent to the tasks is bounded whatever its size; every block meets every
     document. Documents are not shuffled. Null and empty texts contain nothing; items
     that are null or shorter than ``least_chars`` are in no document; equal items are
     each reported; repeated documents give repeated rows; an empty table on either side
     gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(
-        F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")
-    ).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = total // block_bytes + 1
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kinds = [f.dataType.simpleString() for f in (texts.schema["doc_id"], items.schema["item_id"])]
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int"
+    kinds = (texts.schema["doc_id"].dataType, benchmark.schema[item_id].dataType)
+    schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, distance int"
+    item_kind = to_arrow_type(kinds[1])
 
-    def search(block: list[tuple[int, str]]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
+    def search(block: list[tuple[object, str]]) -> DataFrame:
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pieces = Pieces(sent.value, budget)
@@ -150,22 +163,38 @@ def contaminated(
                     names=["doc_id", "item_id", "distance"],
                 )
 
-        item_kind = _arrow(kinds[1])
         return texts.mapInArrow(run, schema)
 
-    results = []
-    for number in range(blocks):
-        part = items if blocks == 1 else items.where(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number
-        )
-        block = [(r.item_id, t) for r in part.toLocalIterator() if len(t := normal(r.text)) >= least_chars]
-        found = search(block)
-        results.append(found if blocks == 1 else stored(found, "leaks"))
-    whole = results[0]
-    for more in results[1:]:
-        whole = whole.unionByName(more)
-    return whole
-
-
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    whole, before = None, None
+    for block in _blocks(benchmark, item_id, item_text, least_chars, block_bytes):
+        if before is not None:  # more than one block: each is searched in turn
+            before = stored(before, "leaks")
+            whole = before if whole is None else whole.unionByName(before)
+        before = search(block)
+    return before if whole is None else whole.unionByName(before)
+
+
+def decontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    budget: float = BUDGET,
+    least_chars: int = LEAST_CHARS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows that contain no benchmark item, with all of their columns, in place."""
+    at = docs.columns.index(text)
+    for block in _blocks(benchmark, item_id, item_text, least_chars, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            pieces = Pieces(sent.value, budget)
+            for batch in batches:
+                clean = [not pieces.found(normal(t)) for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

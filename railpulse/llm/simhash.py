@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railpulse.llm.graph import components
@@ -29,6 +29,8 @@ BITS = 64
 SEED = 42
 _HASH = partial(xxhash.xxh64_intdigest, seed=SEED)
 _CHUNK = 1 << 16
+_APART = 0x1F3D5B79A2C4E687
+_MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -37,11 +39,27 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return bits.sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """SimHash of one text: a bit is set if it is in over half of the hashes of the
-    text's word shingles, repeats included. A text of fewer words is one shingle, one
-    without words has fingerprint 0. A very long text is read block by block."""
-    counts, total, tail, whole = np.zeros(BITS, np.int64), 0, [], True
+def _families(hashes: np.ndarray, families: int) -> Iterator[np.ndarray]:
+    """The hashes, and for every further family other hashes made from them."""
+    yield hashes
+    for family in range(1, families):
+        mixed = (hashes ^ np.uint64(family * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * _MIX[0]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[1]
+        yield mixed ^ (mixed >> np.uint64(29))
+
+
+def fingerprint(text: bytes | None, shingle: int, families: int = 1) -> list[int]:
+    """SimHash of one text, by each family of hashes: a bit is set if it is in over half of
+    the hashes of the text's word shingles, repeats included. The first family is XXH64. A
+    text of fewer words is one shingle, one without words has fingerprint 0. A very long
+    text is read block by block."""
+    counts, total, tail, whole = np.zeros((families, BITS), np.int64), 0, [], True
+
+    def add(hashes: np.ndarray) -> None:
+        for i in range(0, len(hashes), _CHUNK):
+            for family, more in enumerate(_families(hashes[i : i + _CHUNK], families)):
+                counts[family] += _bit_counts(more)
+
     for words in word_blocks(text.lower() if text else None):
         tail = tail + words
         if len(tail) < shingle:
@@ -49,32 +67,40 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
         whole = False
         grams = map(b" ".join, zip(*(tail[i:] for i in range(shingle)), strict=False))
         hashes = np.fromiter(map(_HASH, grams), np.uint64)
-        for i in range(0, len(hashes), _CHUNK):
-            counts += _bit_counts(hashes[i : i + _CHUNK])
+        add(hashes)
         total += len(hashes)
         tail = tail[len(tail) - shingle + 1 :]
     if whole and tail:
-        counts, total = _bit_counts(np.array([_HASH(b" ".join(tail))], np.uint64)), 1
-    return int(np.packbits(2 * counts > total, bitorder="little").view(np.uint64)[0])
+        add(np.array([_HASH(b" ".join(tail))], np.uint64))
+        total = 1
+    bits = np.packbits(2 * counts > total, axis=1, bitorder="little")
+    return bits.view(np.uint64)[:, 0].tolist()
 
 
 def fingerprints(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 4,
+    families: int = 1,
 ) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed number. A null
-    text counts as empty."""
+    """(doc_id, fp, fp1, ...) of every row, a fingerprint for each family, its 64 bits as a
+    signed number. A null text counts as empty."""
+    names = ["fp", *(f"fp{i}" for i in range(1, families))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, shingle) for t in as_bytes(batch.column(1))]
+            prints = [fingerprint(t, shingle, families) for t in as_bytes(batch.column(1))]
+            each = np.array(prints, np.uint64).reshape(-1, families).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))],
-                names=["doc_id", "fp"],
+                [batch.column(0), *(pa.array(each[:, i]) for i in range(families))],
+                names=["doc_id", *names],
             )
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return narrow.mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"{n} bigint" for n in names)]))
 
 
 def _blocks(blocks: int) -> list[tuple[int, int]]:
@@ -231,6 +257,27 @@ def links(
     )
 
 
+def _other_links(prints: DataFrame, family: int, **options) -> DataFrame:
+    """Edges that join the nodes of the first family whose fingerprints of another family
+    link. The other fingerprints are nodes too, moved by a constant to numbers of their
+    own; one that neither links nor is shared joins nothing and is left out."""
+
+    def moved(name: str) -> Column:
+        return F.col(name).bitwiseXOR(F.lit(family * _APART & (1 << 62) - 1))
+
+    member = stored(
+        prints.select(F.col("fp").alias("node"), F.col(f"fp{family}").alias("fp")).distinct(),
+        "members",
+    )
+    found = stored(links(member.select("fp").distinct(), **options), "links")
+    shared = member.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    wanted = shared.union(found.select("a")).union(found.select("b")).distinct()
+    member = member.join(wanted, "fp", "left_semi").select(
+        F.col("node").alias("a"), moved("fp").alias("b")
+    )
+    return member.unionByName(found.select(moved("a").alias("a"), moved("b").alias("b")))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -239,20 +286,40 @@ def near_duplicates(
     shingle: int = 4,
     threshold: int = 4,
     blocks: int = 3,
+    families: int = 1,
 ) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
     Rows with the same fingerprint are one node; nodes link at ``threshold`` or fewer
-    differing bits. ``component_id`` is the smallest doc_id of the component, null if
-    all of its ids are null. Null and empty texts share fingerprint 0; repeated rows
-    come back repeated; an empty table gives no rows; other columns are ignored.
+    differing bits. With more ``families`` of hashes a link by any of them counts, which
+    finds near copies that one fingerprint happens to set apart. ``component_id`` is the
+    smallest doc_id of the component, null if all of its ids are null. Null and empty
+    texts share fingerprint 0; repeated rows come back repeated; an empty table gives no
+    rows; other columns are ignored.
     """
-    prints = stored(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle), "prints")
+    prints = stored(
+        fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, families=families), "prints"
+    )
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(links(nodes, threshold=threshold, blocks=blocks))
+    edges = links(nodes, threshold=threshold, blocks=blocks)
+    for family in range(1, families):
+        edges = edges.unionByName(
+            _other_links(prints, family, threshold=threshold, blocks=blocks)
+        )
+    roots = components(edges)
     placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = stored(placed.join(smallest, "root").select("fp", "component_id"), "components")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """One row of each near-duplicate group, with its own columns."""
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, doc_id="__row", **options)
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("__row")
+    )
+    return rows.join(first, "__row", "left_semi").drop("__row")

@@ -264,3 +264,12 @@ def scored(
     return docs.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(
         run, f"{schema}, `{name}` double"
     )
+
+
+def without_toxic(
+    docs: DataFrame, model: Model, *, text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows that score below the threshold, with their own columns."""
+    return scored(docs, model, text=text, name="__score").where(
+        F.col("__score") < threshold
+    ).drop("__score")
