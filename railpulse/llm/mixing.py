@@ -183,13 +183,15 @@ def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, *, source: str = "source", text: str = "text", **options) -> DataFrame:
     """The documents the mix takes, each as often as it is taken, with their own columns."""
-    kept = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    sized = kept.select(
-        "_row", F.col(source).alias("source"), word_count(text).alias("size")
+    kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    sized = kept.select("__row", F.col(source).alias("source"), word_count(text).alias("size"))
+    taken = (
+        mix(sized, tie="__row", **options)
+        .where("copies > 0")
+        .select("__row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("__copies"))
     )
-    taken = mix(sized, tie="_row", **options).where("copies > 0").select("_row", "copies")
     return (
-        kept.join(taken, "_row")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        kept.join(taken, "__row")
+        .withColumn("__copy", F.explode("__copies"))
         .select(*(F.col(f"`{c}`") for c in docs.columns))
     )
