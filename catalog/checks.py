@@ -367,7 +367,7 @@ SELECT * REPLACE (round(long_ratio_10m, 6) AS long_ratio_10m) FROM delayed""",
 listed AS (
   SELECT window_end_ts, string_agg(station_name, ',' ORDER BY position) AS stations,
          CAST(count(*) AS INTEGER) AS station_count,
-         string_agg(printf('- %s (line=%d, %s) n=%d delay10m=%.2f p90=%ds', station_name, line_id,
+         string_agg(printf('%s, line %d %s: %d rows, %.2f wait long, p90 %d s', station_name, line_id,
                            updn_line, n, long_ratio_10m, coalesce(p90_eta_sec, 0)),
                     chr(10) ORDER BY position) AS lines
   FROM delayed GROUP BY window_end_ts
@@ -375,13 +375,12 @@ listed AS (
 SELECT window_start_ts, window_end_ts, total_n,
        round(delay_ratio_10m_weighted, 6) AS delay_ratio_10m_weighted,
        round(p90_eta_sec_weighted, 6) AS p90_eta_sec_weighted, "groups", stations, station_count,
-       '[Subway Delay Alert]' || chr(10) || '- window: '
-       || strftime(window_start_ts, '%Y-%m-%d %H:%M:%S') || ' ~ '
-       || strftime(window_end_ts, '%Y-%m-%d %H:%M:%S') || chr(10)
-       || '- total_n=' || total_n || ', groups=' || "groups" || chr(10)
-       || printf('- delay10m(weighted)=%.2f, p90(weighted)=%.0fs', delay_ratio_10m_weighted,
+       'Long waits from ' || strftime(window_start_ts, '%Y-%m-%d %H:%M:%S') || ' to '
+       || strftime(window_end_ts, '%Y-%m-%d %H:%M:%S') || ': ' || total_n || ' rows in '
+       || "groups" || ' groups' || chr(10)
+       || printf('Share of long waits %.2f, p90 %.0f s, over all rows', delay_ratio_10m_weighted,
                  p90_eta_sec_weighted) || chr(10)
-       || '- TOP delayed stations:' || chr(10) || lines AS alert_text
+       || 'Most delayed:' || chr(10) || lines AS alert_text
 FROM health JOIN listed USING (window_end_ts)
 WHERE total_n >= 200 AND (delay_ratio_10m_weighted >= 0.25 OR p90_eta_sec_weighted >= 1200)""",
     ),
@@ -565,10 +564,14 @@ SELECT 'INFO-200 no data' AS reason, count(*) AS pages FROM bronze WHERE GTON_TN
     "arrival_envelope_rows": _with(
         BRONZE_ARRIVALS,
         """
-SELECT CAST(event_id AS VARCHAR) AS btrainNo, station AS statnId, 'ST' || user_id AS statnNm,
+SELECT received AS recptnDt, station AS statnId, 'ST' || user_id AS statnNm,
        CAST(1001 + user_id % 9 AS VARCHAR) AS subwayId,
-       CASE WHEN event_id % 2 = 0 THEN 'up' ELSE 'down' END AS updnLine, wait AS barvlDt,
-       'ALL' AS query_station_name
+       CASE WHEN event_id % 2 = 0 THEN 'up' ELSE 'down' END AS updnLine,
+       CAST(user_id - 1 AS VARCHAR) AS statnFid, CAST(user_id + 1 AS VARCHAR) AS statnTid,
+       CAST(event_id AS VARCHAR) AS btrainNo, event_type AS btrainSttus, wait AS barvlDt,
+       CASE WHEN k % 11 <> 0 THEN CAST(k % 7 AS VARCHAR) END AS arvlCd,
+       CASE WHEN k >= 95 THEN '1' WHEN k >= 5 THEN '0' ELSE '2' END AS lstcarAt,
+       '{"ordkey":"' || k || '"}' AS other_fields, 'ALL' AS query_station_name
 FROM raw WHERE event_type <> 'error'""",
     ),
     "arrival_envelope_rejects": """
@@ -607,10 +610,9 @@ FROM usage GROUP BY use_ymd, line_name""",
 NOTIFICATIONS = """
 SELECT 'purchase:' || strftime(ts, '%Y%m%d') AS "key", strftime(ts, '%Y%m%d') AS target_ymd,
        CAST(event_id AS VARCHAR) AS run_id,
-       '**GOLD READY**' || chr(10) || '- target_ymd: `' || strftime(ts, '%Y%m%d') || '`' || chr(10)
-       || '- run_id: `' || event_id || '`' || chr(10)
-       || '- arrival: gold/arrival/dt=' || strftime(ts, '%Y%m%d') || chr(10)
-       || '- position: gold/position/dt=' || strftime(ts, '%Y%m%d') || chr(10) AS content
+       'Tables of ' || strftime(ts, '%Y%m%d') || ' are complete (run ' || event_id || ').' || chr(10)
+       || 'Arrivals: gold/arrival/dt=' || strftime(ts, '%Y%m%d') || chr(10)
+       || 'Positions: gold/position/dt=' || strftime(ts, '%Y%m%d') || chr(10) AS content
 FROM events WHERE event_type = 'purchase'"""
 
 SQL["arrival_metrics_one_pass"] = SQL["arrival_metrics_15m"]

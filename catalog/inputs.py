@@ -10,18 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railpulse.functions.times import hour_part_columns
-from railpulse.sources.tables import spread
 
 EXPRESS = ("purchase",)
 
 
-SPREAD_BY = {"events": "event_id", "lineitem": "l_orderkey"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the large ones spread over all cores when in one small file."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -50,7 +45,7 @@ def arrivals(events: DataFrame) -> DataFrame:
     )
 
 
-def bronze_arrivals(events: DataFrame) -> DataFrame:
+def bronze_arrivals(events: DataFrame, *more: Column) -> DataFrame:
     """Raw text arrivals with three time formats, junk text and absent columns."""
     k, user, t, form = F.col("k"), F.col("user_id"), F.col("t"), F.col("event_id") % 4
     received = (
@@ -78,6 +73,7 @@ def bronze_arrivals(events: DataFrame) -> DataFrame:
         F.when(k >= 95, "1").when(k >= 5, "0").otherwise("2").alias("lstcarAt"),
         t.alias("snapshot_ts"),
         *(c.alias(n) for n, c in hour_part_columns(t).items()),
+        *more,
     )
 
 

@@ -59,7 +59,7 @@ def ready_text(event: Column) -> Column:
 
 def to_message(key: Column, body: Column) -> list[Column]:
     """The key and value columns of a keyed JSON message."""
-    return [key.cast("string").alias("key"), F.to_json(body).alias("value")]
+    return [key.cast("string").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value")]
 
 
 def from_message(value: Column, schema: str = S.EVENT_SCHEMA) -> Column:

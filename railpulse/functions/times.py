@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from railpulse import settings as S
 
 
+def wall_clock(moment: datetime | None) -> Column:
+    """A wall-clock time of the session zone as a timestamp.
+
+    ``F.lit`` of a datetime without a zone would read it in the zone of the driver's
+    machine, which need not be the session's. The cast folds to a constant, so
+    comparisons with it still reach the file scan.
+    """
+    text = None if moment is None else f"{moment:%Y-%m-%d %H:%M:%S.%f}"
+    return F.lit(text).cast("timestamp")
+
+
 class Window(NamedTuple):
     """A half-open range ``[start, end)`` of local wall-clock time."""
 
@@ -20,7 +31,7 @@ class Window(NamedTuple):
     end: datetime
 
     def holds(self, column: Column) -> Column:
-        return (column >= F.lit(self.start)) & (column < F.lit(self.end))
+        return (column >= wall_clock(self.start)) & (column < wall_clock(self.end))
 
 
 class DayParts(NamedTuple):

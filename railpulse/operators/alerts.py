@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railpulse import settings as S
 from railpulse.functions.flags import weighted_mean
 from railpulse.functions.text import delay_line
-from railpulse.functions.times import display_time
+from railpulse.functions.times import display_time, wall_clock
 from railpulse.operators.ranking import top_k
 
+#: Window ends made by one row of the spine of ``missing_windows``.
+SPINE_BLOCK = 1000
 WINDOW = ("window_start_ts", "window_end_ts")
 TOP_COLUMNS = ("station_name", "line_id", "updn_line", "n", "long_ratio_10m", "p90_eta_sec")
 
@@ -100,36 +104,30 @@ def missing_windows(
     *,
     minutes: int = S.WINDOW_MINUTES,
     slide: int = S.SLIDE_MINUTES,
-    first_end=None,
-    last_end=None,
+    first_end: datetime | None = None,
+    last_end: datetime | None = None,
 ) -> DataFrame:
     """Windows without metrics between two window ends, by default the first and
     last present.
 
-    Expected window ends are made one day per row first, so the spine spreads over
-    tasks however long the range.
+    Expected ends are counted from the first one in whole slides, whatever the slide
+    and the zone. Their numbers are made in blocks, one block per row, so the spine
+    spreads over tasks however long the range.
     """
     ends = metrics.select("window_end_ts").distinct()
     span = ends.agg(
-        F.coalesce(F.lit(first_end), F.min("window_end_ts")).alias("lo"),
-        F.coalesce(F.lit(last_end), F.max("window_end_ts")).alias("hi"),
-    )
-    days = span.select(
-        "lo",
-        "hi",
-        F.explode(
-            F.expr("sequence(date_trunc('DAY', lo), date_trunc('DAY', hi), interval 1 day)")
-        ).alias("day"),
+        F.unix_micros(F.coalesce(wall_clock(first_end), F.min("window_end_ts"))).alias("lo"),
+        F.unix_micros(F.coalesce(wall_clock(last_end), F.max("window_end_ts"))).alias("hi"),
     )
-    step = f"interval {slide} minutes"
-    expected = days.select(
-        F.explode(
-            F.expr(
-                f"filter(sequence(day, day + interval 1 day - {step}, {step}),"
-                " e -> e >= lo and e <= hi)"
-            )
-        ).alias("window_end_ts")
+    step = slide * 60_000_000
+    last = F.floor((F.col("hi") - F.col("lo")) / step)
+    # A null or empty span has no numbers.
+    blocks = span.where("lo <= hi").select(
+        "lo", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(SPINE_BLOCK))).alias("at")
     )
+    expected = blocks.select(
+        "lo", F.explode(F.sequence("at", F.least("last", F.col("at") + SPINE_BLOCK - 1))).alias("at")
+    ).select(F.timestamp_micros(F.col("lo") + F.col("at") * step).alias("window_end_ts"))
     length = F.expr(f"interval {minutes} minutes")
     return expected.join(ends, "window_end_ts", "left_anti").select(
         (F.col("window_end_ts") - length).alias("window_start_ts"),

@@ -17,6 +17,7 @@ from railpulse.functions.times import (
     floor_time,
     hour_part_columns,
     minute_key,
+    wall_clock,
     window_ending_at,
 )
 from railpulse.operators.percentiles import (
@@ -128,7 +129,7 @@ def window_metrics(
     counts = count_values(rows, keys, WAIT, F.bool_or("is_last_train").alias(_LAST))
     metrics = _from_counts(counts, list(keys), long_wait_sec, percentile)
     return _with_window_columns(
-        metrics, F.lit(window.start), F.lit(window.end), keys, minutes, min_n
+        metrics, wall_clock(window.start), wall_clock(window.end), keys, minutes, min_n
     )
 
 
@@ -155,8 +156,8 @@ def hours_touching(window: Window, lateness_hours: int = 0) -> Column:
     rows landed up to some hours after their event."""
     moment = F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
     span = F.expr(f"INTERVAL {lateness_hours} HOURS")
-    from_hour = F.date_trunc("hour", F.lit(window.start))
-    return (moment >= from_hour) & (moment < F.lit(window.end) + span)
+    from_hour = F.date_trunc("hour", wall_clock(window.start))
+    return (moment >= from_hour) & (moment < wall_clock(window.end) + span)
 
 
 def _with_window_columns(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from railpulse import settings as S
 from railpulse.functions.columns import resolve_column, resolve_columns, select_existing
@@ -112,21 +113,15 @@ def painful_stations(
     The score of a pair is its wait times its ridership, each over the highest
     among matching rows. A station has a row per line on both sides, so all pairs
     of a busy station would grow with the product of its rows. They are not made:
-    with the ridership row held fixed, a score cannot rise as the wait falls, so a
-    pair of the overall first k joins one of the first k waits of its station with
-    one of the first k riderships. Only those are joined, at most k * k pairs per
-    station, and the answer is the same. The argument needs values of at least 0,
-    which waits and counts are; a negative one fails the job.
+    with the ridership row held fixed the score moves one way with the wait, and the
+    other way round, so a pair of the overall first k joins one of the k highest or k
+    lowest waits of its station with one of the k highest or k lowest riderships. Only
+    those are joined, at most 4 * k * k pairs per station, and the answer is the same,
+    for negative values too.
     """
     station = [*within, "station_name"]
-    waits = select_existing(kpi, [*within, *WAIT_COLUMNS]).withColumn(
-        "avg_wait_sec", _not_negative("avg_wait_sec")
-    )
-    riders = (
-        _bound(usage, within)
-        .select(*station, "totalNope")
-        .withColumn("totalNope", _not_negative("totalNope"))
-    )
+    waits = select_existing(kpi, [*within, *WAIT_COLUMNS])
+    riders = _bound(usage, within).select(*station, "totalNope")
 
     highest = (
         waits.groupBy(*station)
@@ -135,19 +130,8 @@ def painful_stations(
         .groupBy(*within)
         .agg(F.max("_wait").alias("_wait"), F.max("_total").alias("_total"))
     )
-    pairs = top_k(
-        waits.where("station_name is not null"),
-        k,
-        [F.col("avg_wait_sec").desc_nulls_last()],
-        within=station,
-    ).join(
-        top_k(
-            riders.where("station_name is not null"),
-            k,
-            [F.col("totalNope").desc_nulls_last()],
-            within=station,
-        ),
-        station,
+    pairs = _extremes(waits.where("station_name is not null"), "avg_wait_sec", k, station).join(
+        _extremes(riders.where("station_name is not null"), "totalNope", k, station), station
     )
     if within:
         pairs = pairs.join(highest, list(within))
@@ -172,11 +156,25 @@ def painful_stations(
     )
 
 
-def _not_negative(name: str) -> Column:
-    value = F.col(name)
-    return F.when(
-        value < 0, F.raise_error(F.lit(f"negative {name} in pain score input"))
-    ).otherwise(value)
+def _extremes(df: DataFrame, measure: str, k: int, within: Sequence[str]) -> DataFrame:
+    """The k highest and the k lowest rows of each group, each row once; a null counts
+    as the lowest and comes with the highest only.
+
+    The two orders are each other's reverse, so in a group of n rows the p-th lowest is
+    the (n - p + 1)-th highest. Each side limits a group before its shuffle.
+    """
+    rest = [c for c in df.columns if c != measure and c not in within]
+    highest = [F.col(measure).desc_nulls_last(), *(F.col(c).asc_nulls_first() for c in rest)]
+    lowest = [F.col(measure).asc_nulls_first(), *(F.col(c).desc_nulls_last() for c in rest)]
+    known = df.where(F.col(measure).isNotNull())
+
+    def first(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+        return rows.withColumn("_place", place).where(F.col("_place") <= k)
+
+    sizes = known.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
+    low = first(known, lowest).join(sizes, list(within)).where(F.col("_place") <= F.col("_n") - k)
+    return first(df, highest).drop("_place").unionByName(low.drop("_place", "_n"))
 
 
 def last_trains(
@@ -281,5 +279,16 @@ def report_context(kpi: DataFrame, usage: DataFrame, *, k: int = S.TOP_K) -> Dat
 
 
 def context_json(context: DataFrame) -> DataFrame:
-    """Each day's context as one JSON document."""
-    return context.select("target_ymd", F.to_json(F.struct("*")).alias("context"))
+    """Each day's context as one JSON document. Null fields of a listed row are written
+    out; a side without data holds nothing but ``has_data``."""
+
+    def side(name: str) -> Column:
+        whole = F.to_json(name, {"ignoreNullFields": "false"})
+        return F.when(F.col(name)["has_data"], whole).otherwise('{"has_data":false}')
+
+    day = F.to_json(F.struct("target_ymd"))
+    body = F.concat(
+        F.expr("substring(_day, 1, length(_day) - 1)"),
+        F.lit(',"usage":'), side("usage"), F.lit(',"arrival":'), side("arrival"), F.lit("}"),
+    )
+    return context.withColumn("_day", day).select("target_ymd", body.alias("context"))

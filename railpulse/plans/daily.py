@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railpulse import settings as S
 from railpulse.functions.times import day_before, day_parts
 from railpulse.operators.report import (
+    REPORT_DAY,
     context_json,
-    kpi_by_report_day,
     report_context,
-    usage_by_report_day,
 )
 from railpulse.plans.lake import Lake
 from railpulse.sinks.messages import write_documents
@@ -48,15 +50,16 @@ def build_context(
     arrival_lag: int = S.ARRIVAL_LAG_DAYS,
 ) -> DataFrame:
     """Report context of a day from the KPI of that day and the newest confirmed
-    ridership. Only those two day partitions are read."""
+    ridership: one row, or none without either. Only those two day partitions are read,
+    and all their rows belong to this report: rows of the evening before that were
+    ingested after midnight do not make, or replace, a report of their own day.
+    """
+    day = F.lit(date(*day_parts(ymd)))
     kpi_day = f"{day_before(ymd, arrival_lag):%Y%m%d}"
     usage_day = f"{day_before(ymd, usage_lag):%Y%m%d}"
     kpi = _day_of(spark, lake, lake.station_kpi, KPI_SCHEMA, kpi_day)
     usage = _day_of(spark, lake, lake.station_usage, USAGE_SCHEMA, usage_day)
-    return report_context(
-        kpi_by_report_day(kpi, lag_days=arrival_lag),
-        usage_by_report_day(usage, lag_days=usage_lag),
-    )
+    return report_context(kpi.withColumn(REPORT_DAY, day), usage.withColumn(REPORT_DAY, day))
 
 
 def write_context(spark: SparkSession, lake: Lake, ymd: str, **lags) -> None:

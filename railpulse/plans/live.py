@@ -11,13 +11,13 @@ from railpulse import settings as S
 from railpulse.operators.alerts import delay_alerts
 from railpulse.operators.silver import silver_arrivals
 from railpulse.plans.lake import Lake
-from railpulse.sources.envelopes import ARRIVAL_FIELDS
+from railpulse.sources.envelopes import ARRIVAL_FIELDS, OTHER_FIELDS
 from railpulse.sources.topics import file_stream
 from railpulse.streaming.arrivals import metrics_stream
 from railpulse.streaming.runs import alerting, for_each_batch, in_turn, window_replacer
 
 BRONZE_SCHEMA = ", ".join(
-    [f"{name} string" for name in (*ARRIVAL_FIELDS, "query_station_name", "run_ts")]
+    [f"{name} string" for name in (*ARRIVAL_FIELDS, OTHER_FIELDS, "query_station_name", "run_ts")]
     + ["snapshot_ts timestamp"]
     + [f"{name} int" for name in (*S.ARRIVAL_PARTITION, "minute")]
 )

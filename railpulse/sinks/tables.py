@@ -97,8 +97,11 @@ def replace_partition(
     if unknown:
         raise ValueError(f"not partition columns: {sorted(unknown)}")
     spark = df.sparkSession
-    if skip_empty and df.isEmpty():
-        return 0
+    if skip_empty and format == "delta":  # replaceWhere would delete: ask first, run once
+        df = df.persist()
+        if df.isEmpty():
+            df.unpersist()
+            return 0
     guarded, observation = counted(_only_within(df, partition_predicate(values), root))
     writer = (
         _clustered(guarded, partition_by)
@@ -112,6 +115,8 @@ def replace_partition(
 
     before = _folders_of(spark, root, values)
     writer.option("partitionOverwriteMode", "dynamic").save(root)
+    if skip_empty and not _counter(observation):  # a dynamic overwrite by no rows has replaced nothing
+        return 0
     if before:
         after = _folders_of(spark, root, values)
         # A folder that still holds its old file was not reached by the new rows.
@@ -124,15 +129,22 @@ def _observed_rows(
 ) -> int:
     """Rows counted during the write. A plan found to be empty loses its counter;
     then the (empty) partitions are asked."""
-    try:
-        return observation.get["rows"]
-    except (Py4JJavaError, KeyError):
+    rows = _counter(observation)
+    if rows is None:
         try:
             return read_table(spark, root, format=format, where=values).count()
         except AnalysisException as error:
             if error.getCondition() not in ABSENT:
                 raise
             return 0
+    return rows
+
+
+def _counter(observation: Observation) -> int | None:
+    try:
+        return observation.get["rows"]
+    except (Py4JJavaError, KeyError):
+        return None
 
 
 def _only_within(df: DataFrame, predicate: Column, root: str) -> DataFrame:

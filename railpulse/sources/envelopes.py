@@ -7,6 +7,7 @@ one, does not stop the batch: it goes to a reject frame with its reason, and
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,10 @@ class Unpacked(NamedTuple):
     rejects: DataFrame
 
 
-def _text_fields(names) -> str:
-    return "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">"
+#: A landed item: every field the source sends, its value as text.
+ITEM = "map<string, string>"
+#: JSON text of the fields of an item that have no column of their own; null without any.
+OTHER_FIELDS = "other_fields"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -43,11 +46,23 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
-def _split(parsed: DataFrame, reason: Column, items: Column, keep: list[str]) -> Unpacked:
+def _columns(item: Column, names: Sequence[str]) -> list[Column]:
+    others = F.map_filter(item, lambda name, _: ~name.isin(*names))
+    return [
+        *(item[name].alias(name) for name in names),
+        F.when(F.size(others) > 0, F.to_json(others, {"ignoreNullFields": "false"})).alias(OTHER_FIELDS),
+    ]
+
+
+def _split(
+    parsed: DataFrame, reason: Column, items: Column, keep: list[str], names: Sequence[str]
+) -> Unpacked:
     # A filter on the reason would be pushed below the parse and repeat it for every
     # field it looks at; an unaccepted document explodes to nothing instead.
     accepted = F.when(reason.isNull(), items)
-    rows = parsed.select(*keep, F.explode(accepted).alias("item")).select(*keep, "item.*")
+    rows = parsed.select(*keep, F.explode(accepted).alias("item")).select(
+        *keep, *_columns(F.col("item"), names)
+    )
     refused = F.when(reason.isNotNull(), F.array(F.struct("body", reason.alias("reason"))))
     rejects = parsed.select(*keep, F.inline(refused))
     return Unpacked(rows, rejects)
@@ -56,7 +71,7 @@ def _split(parsed: DataFrame, reason: Column, items: Column, keep: list[str]) ->
 def unpack_arrivals(documents: DataFrame, body: str = "body") -> Unpacked:
     """Arrival board rows, tagged as a whole-network query."""
     schema = (
-        f"{S.ARRIVAL_LIST_FIELD} array<{_text_fields(ARRIVAL_FIELDS)}>, "
+        f"{S.ARRIVAL_LIST_FIELD} array<{ITEM}>, "
         f"{S.ARRIVAL_ERROR_FIELD} struct<status: string, code: string, message: string>"
     )
     keep = [c for c in documents.columns if c != body]
@@ -71,7 +86,7 @@ def unpack_arrivals(documents: DataFrame, body: str = "body") -> Unpacked:
             F.concat_ws(" ", error["status"], error["code"], error["message"]),
         ).otherwise("no arrival list"),
     )
-    rows, rejects = _split(parsed, reason, items, keep)
+    rows, rejects = _split(parsed, reason, items, keep, ARRIVAL_FIELDS)
     return Unpacked(rows.withColumn("query_station_name", F.lit(S.WHOLE_NETWORK_QUERY)), rejects)
 
 
@@ -80,7 +95,7 @@ def unpack_usage(documents: DataFrame, body: str = "body") -> Unpacked:
     schema = (
         f"{S.USAGE_SERVICE_FIELD} struct<list_total_count: bigint, "
         f"RESULT: struct<CODE: string, MESSAGE: string>, "
-        f"row: array<{_text_fields(USAGE_FIELDS)}>>"
+        f"row: array<{ITEM}>>"
     )
     keep = [c for c in documents.columns if c != body]
     parsed = documents.select(
@@ -92,7 +107,7 @@ def unpack_usage(documents: DataFrame, body: str = "body") -> Unpacked:
         code.isNotNull() & (code != S.USAGE_OK_CODE),
         F.concat_ws(" ", code, service["RESULT"]["MESSAGE"]),
     )
-    return _split(parsed, reason, service["row"], keep)
+    return _split(parsed, reason, service["row"], keep, USAGE_FIELDS)
 
 
 def failed_envelopes(unpacked: Unpacked) -> None:

@@ -87,13 +87,3 @@ def read_drifting_files(
 def rows_to_frame(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     """A small driver-side row list, such as one API response, as a frame."""
     return spark.createDataFrame(rows, schema)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows hashed over all cores when the input has fewer splits than cores.
-
-    For a table in a few files; one with enough splits is left as it is, without a
-    shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

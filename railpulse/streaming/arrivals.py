@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from railpulse.operators.metrics import TIME_COLUMNS, metrics_in_one_pass, with_event_time
 
@@ -14,6 +15,8 @@ def metrics_stream(
     *,
     delay: str = "10 minutes",
     time_columns: Sequence[str] = TIME_COLUMNS,
+    taken_at: str = "snapshot_ts",
+    ahead: str = "5 minutes",
     **metric_args,
 ) -> DataFrame:
     """Sliding metrics with a lateness allowance.
@@ -21,8 +24,18 @@ def metrics_stream(
     In append mode a window is emitted once, whole, when the watermark passes its
     end, and its state is dropped; rows later than that are left to a batch
     re-run of the window.
+
+    A source clock that runs ahead would move the watermark with it and shut out all
+    rows until then. So a time more than ``ahead`` after the snapshot the row came in,
+    column ``taken_at``, counts as the time of that snapshot.
     """
-    timed = with_event_time(arrivals, time_columns).withWatermark("event_ts", delay)
+    timed = with_event_time(arrivals, time_columns)
+    if taken_at in arrivals.columns:
+        too_late = F.col("event_ts") > F.col(taken_at) + F.expr(f"interval {ahead}")
+        timed = timed.withColumn(
+            "event_ts", F.when(too_late, F.col(taken_at)).otherwise(F.col("event_ts"))
+        )
+    timed = timed.withWatermark("event_ts", delay)
     return metrics_in_one_pass(timed, **metric_args)
 
 

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from railpulse.operators import alerts as A
 from tests.helpers import at, rows
 
@@ -37,11 +40,11 @@ def test_attached_stations(spark):
     given = [(f"S{i:02d}", 20 + i, 0.9 - i / 100, 700) for i in range(12)] + [("few", 19, 1.0, 999)]
     alert = alerts_of(spark, *given)[0]
     assert [s.station_name for s in alert.top_stations] == [f"S{i:02d}" for i in range(10)]
-    assert "- S00 (line=1, up) n=20 delay10m=0.90 p90=700s" in alert.alert_text
+    assert "S00, line 1 up: 20 rows, 0.90 wait long, p90 700 s" in alert.alert_text
     assert "few" not in alert.alert_text
     # No station has enough rows: the alert stands without a list.
     bare = alerts_of(spark, *((f"x{i}", 10, 1.0, None) for i in range(20)))[0]
-    assert bare.top_stations is None and bare.alert_text.endswith("stations:\n")
+    assert bare.top_stations is None and bare.alert_text.endswith("Most delayed:\n")
 
 
 def test_order_of_delayed_stations(spark):
@@ -64,3 +67,23 @@ def test_missing_windows(spark):
         (at(t),) for t in ("2023-12-31 23:55:00", "2024-01-01 00:00:00", "2024-01-01 00:05:00", "2024-01-01 00:10:00")
     ]
     assert A.missing_windows(both.where("false")).isEmpty()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul"])
+@pytest.mark.parametrize("slide", [5, 7, 480, 2000])
+def test_missing_windows_of_any_slide(spark, zone, slide):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        first = 1_704_067_200 // (slide * 60) * slide * 60
+        ends = [first + i * slide * 60 for i in range(2500)]
+        gaps = set(ends[3:5] + ends[1200:1201])
+        present = spark.createDataFrame([(e,) for e in ends if e not in gaps], "s bigint").select(
+            F.timestamp_seconds("s").alias("window_end_ts")
+        )
+        assert A.missing_windows(present.where("true"), slide=slide).count() == len(gaps)
+        found = A.missing_windows(present, slide=slide, minutes=15)
+        got = found.select(F.unix_seconds("window_end_ts"), "alert_text").collect()
+        assert {r[0] for r in got} == gaps
+        assert all(r.alert_text.startswith("No arrival metrics from 20") for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,7 +86,9 @@ def test_ridership_chain_and_report(spark, lake):
     # Report of the 5th: ridership of the 1st, no arrivals yet.
     D.write_context(spark, lake, "20240105")
     doc = json.loads(spark.read.text(lake.report_context).first().value)
-    assert doc["usage"]["top_stations_by_total"] == [{"station_name": "A", "line_name": "1", "totalNope": 15}]
+    assert doc["usage"]["top_stations_by_total"] == [
+        {"station_name": "A", "line_name": "1", "totalNope": 15, "rank_daily": None}
+    ]
     assert doc["arrival"] == {"has_data": False}
 
     A.land_snapshot(board(spark, ("2024-01-05 22:00:00", 120, "1")), lake, F.lit(at("2024-01-05 22:00:30")))
@@ -122,3 +125,67 @@ def test_live_chain_equals_batch_runs(spark, lake, folder):
     A.refresh_metrics(spark, lake, at("2024-01-05 09:17:00"))
     again = rows(A.read_metrics(spark, lake), "window_end_ymdhm", "n", "p90_eta_sec")
     assert again == live
+
+
+@pytest.fixture(params=["UTC", "America/New_York"])
+def machine_zone(request, monkeypatch):
+    """The clock zone of the driver's machine, which is not the session's."""
+    monkeypatch.setenv("TZ", request.param)
+    time.tzset()
+    yield
+    monkeypatch.undo()
+    time.tzset()
+
+
+@pytest.mark.parametrize("zone", ["Asia/Seoul", "UTC"])
+def test_window_bounds_are_of_the_session_zone(spark, lake, zone, machine_zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        snapshot = F.lit("2024-01-05 10:04:30").cast("timestamp")
+        A.land_snapshot(board(spark, ("2024-01-05 10:02:00", 700, "0"), ("2024-01-05 10:03:00", 900, "0")), lake, snapshot)
+        A.refresh_silver(spark, lake)
+        as_of = at("2024-01-05 10:06:00")
+        assert A.refresh_metrics(spark, lake, as_of) == 1
+        raised = A.check_delays(spark, lake, as_of, min_total=2, min_samples=1)
+        assert raised.count() == 1
+        assert raised.first().alert_text.startswith("Long waits from 2024-01-05 09:50:00 to 2024-01-05 10:05:00: 2 rows")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_report_holds_the_rows_of_its_run_day(spark, lake):
+    A.land_snapshot(board(spark, ("2024-01-05 22:00:00", 120, "0")), lake, F.lit(at("2024-01-05 22:00:30")))
+    A.refresh_silver(spark, lake)
+    A.build_day(spark, lake, "20240105")
+    D.write_context(spark, lake, "20240105")
+    before = spark.read.text(lake.report_context).collect()
+    # A row of the evening before comes in after midnight.
+    A.land_snapshot(board(spark, ("2024-01-05 23:59:00", 300, "0"), ("2024-01-06 00:01:00", 60, "0")),
+                    lake, F.lit(at("2024-01-06 00:01:30")))
+    A.refresh_silver(spark, lake)
+    A.build_day(spark, lake, "20240106")
+    assert D.build_context(spark, lake, "20240106").count() == 1
+    D.write_context(spark, lake, "20240106")
+    after = spark.read.text(lake.report_context).collect()
+    assert len(after) == 2 and set(before) <= set(after)
+    doc = next(d for d in map(json.loads, (r.value for r in after)) if d["target_ymd"] == "20240106")
+    # Both rows were ingested on the 6th, though one is of the 5th.
+    assert doc["arrival"]["has_data"] and [s["line_id"] for s in doc["arrival"]["line_wait_stats"]] == [1001]
+
+
+def test_a_clock_that_runs_ahead_does_not_stop_the_stream(spark, lake, folder):
+    seen = []
+    for minute, received in ((1, "2024-01-05 09:01:00"), (6, "2034-01-05 09:06:00"), (30, "2024-01-05 09:30:00"), (59, "2024-01-05 09:59:00")):
+        A.land_snapshot(board(spark, (received, 100, "0")), lake, F.lit(at(f"2024-01-05 09:{minute:02d}:30")))
+        L.watch_arrivals(
+            spark, lake, folder("state"), seen.append, every=None, files_per_trigger=1, min_total=1, min_samples=1,
+        ).awaitTermination()
+    ends = {r[0] for r in rows(A.read_metrics(spark, lake), "window_end_ymdhm")}
+    assert "202401050940" in ends and not any(e.startswith("2034") for e in ends)
+
+
+def test_fields_without_a_column_are_landed(spark, lake):
+    doc = {"realtimeArrivalList": [{"statnId": "1", "ordkey": "01", "subwayList": "1001,1002", "gone": None}]}
+    A.land_snapshot(spark.createDataFrame([(json.dumps(doc),)], "body string"), lake, F.lit(at("2024-01-05 10:00:00")))
+    landed = read_table(spark, lake.bronze_arrivals).first()
+    assert json.loads(landed.other_fields) == {"ordkey": "01", "subwayList": "1001,1002", "gone": None}

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import date
 
 import pytest
@@ -75,9 +76,19 @@ def test_pain_score_with_a_hot_station_equals_all_pairs(spark, k):
     assert got == expected
 
 
-def test_negative_values_are_refused(spark):
-    with pytest.raises(Exception, match="negative avg_wait_sec"):
-        Rp.painful_stations(kpi(spark, ("A", 1, -1.0)), usage(spark, ("A", "1", 5))).collect()
+@pytest.mark.parametrize("seed", range(4))
+def test_pain_of_mixed_signs_against_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    low = -20 if seed < 3 else -30
+    waits = [(rng.choice("AB"), i, rng.choice([None, float(rng.randint(low, 20 if seed < 3 else -1))])) for i in range(30)]
+    totals = [(rng.choice("AB"), str(i), rng.choice([None, rng.randint(-50, 50)])) for i in range(30)]
+    got = Rp.painful_stations(kpi(spark, *waits), usage(spark, *totals), k=4).collect()
+    pairs = [(w, t) for s, _, w in waits for u, _, t in totals if s == u]
+    peak = [max(v for v in side if v is not None) for side in zip(*pairs, strict=True)]
+    scores = sorted(
+        (w / peak[0] * (t / peak[1]) for w, t in pairs if None not in (w, t)), reverse=True
+    )
+    assert [r.pain_score for r in got] == pytest.approx(scores[:4])
 
 
 def test_sections(spark):

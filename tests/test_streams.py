@@ -106,7 +106,7 @@ def test_pipeline_events(spark, folder):
     out = finished(spark, events.notifications(stream), folder)
     assert rows(out, "target_ymd", "run_id") == [("20240101", "r1"), ("20240102", "r1")]
     assert out.where("target_ymd = '20240101'").first().content == (
-        "**GOLD READY**\n- target_ymd: `20240101`\n- run_id: `r1`\n- arrival: a/dt=20240101/\n- position: p/20240101\n"
+        "Tables of 20240101 are complete (run r1).\nArrivals: a/dt=20240101/\nPositions: p/20240101\n"
     )
     stored = read_table(spark, folder("in"), format="json")
     assert events.is_ready(stored, "20240102") and not events.is_ready(stored, "20240103")

@@ -166,11 +166,6 @@ def test_counted_without_a_second_run(spark, folder):
     assert observed.get["rows"] == 7
 
 
-def test_spread(spark):
-    assert T.spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 4
-    assert "Exchange" not in plan_of(T.spread(spark.range(0, 100, 1, 8), "id"))
-
-
 def test_station_reference(spark, folder):
     ref = spark.createDataFrame(
         [(1001, 1, "서울역", "1호선"), (1001, 1, "서울", "1호선"), (1002, 2, "시청", "2호선"), (1002, 3, None, "2호선")],
