@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,6 +151,16 @@ def _from_counts(
     )
 
 
+def hours_of(window: Window, lateness_hours: int = 0) -> list[dict[str, int]]:
+    """The hour partitions of :func:`hours_touching`, one by one."""
+    hour = window.start.replace(minute=0, second=0, microsecond=0)
+    hours = []
+    while hour < window.end + timedelta(hours=lateness_hours):
+        hours.append({"year": hour.year, "month": hour.month, "day": hour.day, "hour": hour.hour})
+        hour += timedelta(hours=1)
+    return hours
+
+
 def hours_touching(window: Window, lateness_hours: int = 0) -> Column:
     """Predicate on hour partitions that may hold rows of a window, allowing for
     rows landed up to some hours after their event."""

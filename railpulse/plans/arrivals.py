@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from railpulse import settings as S
 from railpulse.functions.times import day_part_columns, day_parts, window_ending_at
 from railpulse.operators.alerts import delay_alerts
-from railpulse.operators.metrics import hours_touching, window_metrics
+from railpulse.operators.metrics import hours_of, window_metrics
 from railpulse.operators.silver import land_arrivals, silver_arrivals
 from railpulse.operators.stations import enrich_events, station_kpi
 from railpulse.plans.lake import Lake
@@ -78,7 +78,7 @@ def refresh_metrics(
         spark,
         lake.silver_arrivals,
         format=lake.format,
-        where=hours_touching(window, lateness_hours),
+        where=hours_of(window, lateness_hours),
     )
     metrics = window_metrics(silver, as_of, time_columns=("event_time",))
     return replace_partition(

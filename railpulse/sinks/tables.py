@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.session import shared_folder
-from railpulse.sources.tables import ABSENT, partition_predicate, read_table
+from railpulse.sources.tables import ABSENT, located, partition_predicate, read_table
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -170,10 +170,15 @@ def _folders_of(spark: SparkSession, root: str, values: Mapping[str, object]) ->
     """Folders of the partitions, each with one of its files.
 
     Listed through the binary-file source, which knows the partition columns and
-    opens no file: one row per file, one row per folder on the driver.
+    opens no file: one row per file, one row per folder on the driver. Only folders under
+    the given values are listed where they lead the layout.
     """
+    place = located(spark, root, values)
+    if place.known and place.folder is None:
+        return {}
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+        files = reader.option("basePath", root).load(place.folder or root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return {}

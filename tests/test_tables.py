@@ -180,3 +180,56 @@ def test_station_reference(spark, folder):
     K.overwrite(ref.drop("STATN_NM"), folder("bad"))
     with pytest.raises(ValueError, match="STATN_NM"):
         reference.read_station_reference(spark, folder("bad"))
+
+
+def test_only_the_named_partition_is_listed(spark, folder, tmp_path):
+    root = folder("t")
+    K.append(frame(spark, (1, 1, "a"), (1, 2, "b"), (2, 1, "c")), root, partition_by=BY)
+    # A sibling that Spark cannot lay out: listing the root would fail on it.
+    (tmp_path / "t" / "other=9" / "x=1").mkdir(parents=True)
+    (tmp_path / "t" / "day=2" / "hour=1" / "junk.parquet").write_text("junk")
+    for where in ({"day": 1}, {"day": 1, "hour": 2}, [{"day": 1, "hour": 1}, {"day": 1, "hour": 2}]):
+        place = T.located(spark, root, where if isinstance(where, dict) else where[0])
+        assert not place.known  # the odd folder at the top hides the layout
+    clean = folder("u")
+    K.append(frame(spark, (1, 1, "a"), (1, 2, "b"), (2, 1, "c")), clean, partition_by=BY)
+    (tmp_path / "u" / "day=2" / "hour=1" / "junk.parquet").write_text("junk")
+    assert T.located(spark, clean, {"day": 1, "hour": 2}) == (f"{clean}/day=1/hour=2", True)
+    assert T.located(spark, clean, {"day": 3}) == (None, True)
+    assert T.located(spark, clean, {"hour": 1}) == (None, False)
+    one = T.read_table(spark, clean, where={"day": 1})
+    assert rows(one, "day", "hour", "v") == [(1, 1, "a"), (1, 2, "b")]
+    assert all("/day=1/" in f for f in one.inputFiles())
+    two = T.read_table(spark, clean, where=[{"day": 1, "hour": 2}, {"day": 7, "hour": 1}])
+    assert len(two.inputFiles()) == 1 and rows(two, "v") == [("b",)]
+    assert T.read_table(spark, clean, where={"day": 7}, schema="day int, hour int, v string").isEmpty()
+    with pytest.raises(Exception):
+        T.read_table(spark, clean, where={"day": 2}).collect()
+    K.replace_partition(frame(spark, (1, 2, "z")), clean, {"day": 1, "hour": 2}, partition_by=BY)
+    assert rows(T.read_table(spark, clean, where={"day": 1}), "hour", "v") == [(1, "a"), (2, "z")]
+
+
+def test_columns_of_several_types(spark, folder):
+    root = folder("types")
+    for made in ("cast(1 as int) a, cast(2 as int) b", "cast(3 as bigint) a, 'x' b", "cast(5 as bigint) a, 'y' b"):
+        K.append(spark.range(1).selectExpr(*made.split(", ")), root)
+    read = T.read_drifting_files(spark, root)
+    assert read.dtypes == [("a", "bigint"), ("b", "string")]
+    assert rows(read, "a", "b") == [(1, "2"), (3, "x"), (5, "y")]
+    mixed = union_drifting([spark.range(1).selectExpr("1.5D a"), spark.range(1).selectExpr("2 a"), spark.range(1).selectExpr("null b")])
+    assert rows(mixed, "a") == [(None,), (1.5,), (2.0,)]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_compaction_to_size(spark, folder, tmp_path, partition_by):
+    big = spark.range(200_000).selectExpr("id", "uuid() AS u", "CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS p")
+    source, target = folder("in"), folder("out")
+    big.repartition(2).write.partitionBy(*partition_by).parquet(source)
+    written = compact(spark, source, target, partition_by=partition_by, target_bytes=1_000_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "out").rglob("*.parquet")]
+    assert written == len(sizes) > 6
+    assert max(sizes) < 2_500_000
+    assert spark.read.parquet(target).count() == 200_000
+    if partition_by:
+        with pytest.raises(ValueError, match="partitioned"):
+            compact(spark, source, folder("lost"))
