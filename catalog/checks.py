@@ -147,23 +147,26 @@ METRIC_COLUMNS = """
   coalesce(bool_or(is_last_train), FALSE) AS last_train_seen"""
 
 
-def sliding(minutes: int, slide: int, source: str = "arr") -> str:
+STATION_KEYS = "station_id, station_name, line_id, updn_line"
+
+
+def sliding(minutes: int, slide: int, source: str = "arr", keys: str = STATION_KEYS) -> str:
     """Metrics of all windows of a length, one per slide."""
     return f"""
 metrics AS (
-  SELECT station_id, station_name, line_id, updn_line, {METRIC_COLUMNS}, window_end
+  SELECT {keys}, {METRIC_COLUMNS}, window_end
   FROM (
     SELECT *, time_bucket(INTERVAL {slide} MINUTE, event_time, TIMESTAMP '1970-01-01')
               + INTERVAL {slide} MINUTE * CAST(step + 1 AS INTEGER) AS window_end
     FROM {source}, range({minutes // slide}) AS steps(step)
   )
-  GROUP BY station_id, station_name, line_id, updn_line, window_end
+  GROUP BY {keys}, window_end
 )"""
 
 
-def metric_rows(minutes: int, where: str = "TRUE") -> str:
+def metric_rows(minutes: int, where: str = "TRUE", keys: str = STATION_KEYS) -> str:
     return f"""
-SELECT station_id, station_name, line_id, updn_line, n, avg_eta_sec, p90_eta_sec,
+SELECT {keys}, n, avg_eta_sec, p90_eta_sec,
        round(long_ratio_10m, 6) AS long_ratio_10m, last_train_seen,
        window_end - INTERVAL {minutes} MINUTE AS window_start_ts, window_end AS window_end_ts,
        CAST({minutes} AS INTEGER) AS window_minutes, CAST(20 AS INTEGER) AS min_n,
@@ -338,6 +341,9 @@ FROM customer""",
         sliding(15, 5),
         metric_rows(15, "window_end = TIMESTAMP '2024-01-15 12:00:00'"),
     ),
+    "line_metrics_daily": _with(
+        ARRIVALS, sliding(1440, 480, keys="line_id"), metric_rows(1440, keys="line_id")
+    ),
     "arrival_events_enriched": _with(EVENTS, " SELECT * FROM enriched"),
     "station_daily_kpi": _with(KPI, KPI_ROWS),
     "station_daily_kpi_join": _with(KPI, KPI_ROWS),

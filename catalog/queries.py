@@ -192,6 +192,13 @@ def arrival_metrics_15m(spark, sf_dir):
     return metrics.sliding_metrics(metrics.with_event_time(_arrivals(spark, sf_dir)))
 
 
+@query
+def line_metrics_daily(spark, sf_dir):
+    """Metrics of whole lines over daily windows, so of groups with many rows."""
+    timed = metrics.with_event_time(_arrivals(spark, sf_dir))
+    return metrics.sliding_metrics(timed, keys=("line_id",), **DAILY_WINDOWS)
+
+
 @query
 def arrival_metrics_one_pass(spark, sf_dir):
     """The aggregation a stream runs, over a batch."""

@@ -13,6 +13,16 @@ from railpulse.session import shared_folder
 from railpulse.sources.tables import ABSENT, located, partition_predicate, read_table
 
 
+#: Folders that ``stored`` has written and nobody has released.
+_HELD: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders of ``stored``; for when all results built on them are written."""
+    folders, _HELD[:] = list(_HELD), []
+    _remove_folders(spark, folders)
+
+
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a table partition brought together before the write.
 
@@ -26,9 +36,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
     For a result that several branches of a plan read: it is computed once, each
-    branch reads just its columns, and a lost executor costs a re-read.
+    branch reads just its columns, and a lost executor costs a re-read. The folder stays
+    until ``release``, as frames built on it are lazy.
     """
     root = shared_folder(df.sparkSession, label)
+    _HELD.append(root)
     df.write.parquet(root)
     return df.sparkSession.read.schema(df.schema).parquet(root)
 

@@ -145,6 +145,15 @@ def test_compaction(spark, folder):
     assert rows(T.read_table(spark, folder("packed")).groupBy("day").count()) == [(0, 34), (1, 33), (2, 33)]
 
 
+def test_release_removes_what_was_stored(spark):
+    K.release(spark)
+    one = K.stored(spark.range(3), "x")
+    assert one.count() == 3
+    K.release(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(one.inputFiles()[0])
+
+
 def test_small_overwrite_and_stored(spark, folder):
     for _ in range(2):
         K.overwrite_small(spark.range(10), folder("s"))
