@@ -394,7 +394,9 @@ WHERE total_n >= 200 AND (delay_ratio_10m_weighted >= 0.25 OR p90_eta_sec_weight
         ARRIVALS,
         sliding(15, 5),
         """
-SELECT e - INTERVAL 15 MINUTE AS window_start_ts, e AS window_end_ts
+SELECT e - INTERVAL 15 MINUTE AS window_start_ts, e AS window_end_ts,
+       'No arrival metrics from ' || strftime(e - INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S')
+       || ' to ' || strftime(e, '%Y-%m-%d %H:%M:%S') AS alert_text
 FROM (SELECT unnest(generate_series(min(window_end), max(window_end), INTERVAL 5 MINUTE)) AS e
       FROM metrics)
 WHERE e NOT IN (SELECT window_end FROM metrics)""",

@@ -262,8 +262,7 @@ def delay_alert(spark, sf_dir):
 @query
 def missing_windows(spark, sf_dir):
     timed = metrics.with_event_time(_arrivals(spark, sf_dir))
-    ends = metrics.sliding_metrics(timed).select("window_end_ts").distinct()
-    return alerts.missing_windows(stored(ends, "window-ends")).drop("alert_text")
+    return alerts.missing_windows(stored(metrics.window_ends(timed), "window-ends"))
 
 
 # --- ridership gold ---------------------------------------------------------------------------

@@ -103,6 +103,16 @@ def sliding_metrics(
     )
 
 
+def window_ends(
+    timed: DataFrame, *, minutes: int = S.WINDOW_MINUTES, slide: int = S.SLIDE_MINUTES
+) -> DataFrame:
+    """``window_end_ts`` of every window that holds an event, from distinct panes alone."""
+    pane = floor_time(F.col("event_ts"), math.gcd(minutes, slide))
+    panes = timed.where(F.col("event_ts").isNotNull()).select(pane.alias("_pane")).distinct()
+    windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes")
+    return panes.select(windows.alias("_w")).select(F.col("_w.end").alias("window_end_ts")).distinct()
+
+
 def window_metrics(
     arrivals: DataFrame,
     as_of: datetime,

@@ -123,16 +123,13 @@ def painful_stations(
     waits = select_existing(kpi, [*within, *WAIT_COLUMNS])
     riders = _bound(usage, within).select(*station, "totalNope")
 
-    highest = (
-        waits.groupBy(*station)
-        .agg(F.max("avg_wait_sec").alias("_wait"))
-        .join(riders.groupBy(*station).agg(F.max("totalNope").alias("_total")), station)
-        .groupBy(*within)
-        .agg(F.max("_wait").alias("_wait"), F.max("_total").alias("_total"))
-    )
     pairs = _extremes(waits.where("station_name is not null"), "avg_wait_sec", k, station).join(
         _extremes(riders.where("station_name is not null"), "totalNope", k, station), station
     )
+    # The highest rows of a station are among its extremes, so the pairs know the peaks.
+    highest = pairs.groupBy(*within).agg(
+        F.max("avg_wait_sec").alias("_wait"), F.max("totalNope").alias("_total")
+    )
     if within:
         pairs = pairs.join(highest, list(within))
         wait_peak, total_peak = F.col("_wait"), F.col("_total")
