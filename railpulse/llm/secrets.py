@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,14 +58,19 @@ LEAST_SCORE = 0.5
 LEAST_LITERAL = 6
 
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+# A name starts behind a quote or where no name runs already, and its run is never given
+# back, so a long run of letters is read once.
 _PAIR = re.compile(
-    r"""(?P<quote>["'`]?)(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)(?P=quote)"""
-    r"""[\x20\t]*(?::=|=>|=(?!=)|:(?!:|//))[\x20\t]*(?=\S)"""
+    r"""(?:(?P<quote>["'`])(?P<quoted>[A-Za-z_$][A-Za-z0-9_$.-]*+)(?P=quote)"""
+    r"""|(?<![A-Za-z0-9_$.-])(?P<bare>[A-Za-z_$][A-Za-z0-9_$.-]*+))"""
+    r"""[\x20\t]*+(?::=|=>|=(?!=)|:(?!:|//))[\x20\t]*+(?=\S)"""
 )
 _TERM = re.compile(
     r'''(?P<literal>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)'''
     r"""|(?P<bare>[^\s"'`,;+(){}\[\]]+)"""
 )
+#: A value of more characters is no credential.
+_LONGEST = 1 << 16
 _PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*")
 
 
@@ -101,17 +108,19 @@ def pairs(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
                 spans.append((term.start() + 1, term.end() - 1))
             elif term["bare"] in known:
                 more, where = known[term["bare"]]
-                value += more
-                spans += where
+                if len(value) <= _LONGEST:
+                    value += more
+                    spans += where
             else:
                 value += term["bare"]
                 spans.append(term.span())
             if not (plus := _PLUS.match(text, end)):
                 break
             end = plus.end()
-        if spans and len(value) <= 1 << 16:
-            known[found["name"]] = (value, spans[:64])
-            yield found["name"], value, spans
+        if spans and len(value) <= _LONGEST:
+            name = found["quoted"] or found["bare"]
+            known[name] = (value, spans)
+            yield name, value, spans
         # A bare word may itself be the name of a pair: its text is read again.
 
 
@@ -139,7 +148,8 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
     if not text:
         return []
     base = base_spans(text)
-    covered = [(a, b) for a, b, _ in base]
+    starts = sorted(a for a, _, _ in base)
+    reach = list(accumulate((b for _, b, _ in sorted(base)), max))
     scored = {(a, b, k): 1.0 for a, b, k in base}
     if "=" in text or ":" in text:
         for name, value, where in pairs(text):
@@ -149,7 +159,8 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
             if score < LEAST_SCORE:
                 continue
             for a, b in where:
-                if b > a and not any(x <= a and b <= y for x, y in covered):
+                before = bisect_right(starts, a)
+                if b > a and not (before and reach[before - 1] >= b):
                     key = (a, b, len(BASE))
                     scored[key] = max(score, scored.get(key, 0.0))
     order = sorted(scored, key=lambda s: (s[0], s[2], s[1]))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,17 @@ def test_constants_are_followed():
     assert found == {"a": "one", "b": "onetwo", "c": "onetwo"}
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["a" * 400_000 + " x=1", "k='" + "v" * 60_000 + "'\nx=" + "k+" * 20_000, '"' * 200_000 + "=", "a = b\n" * 60_000,
+     "password = abcdef\n" * 40_000, "name " + " " * 300_000 + ":"],
+)
+def test_long_texts_take_linear_time(text):
+    started = time.perf_counter()
+    spans_of(text)
+    assert time.perf_counter() - started < 20
+
+
 def test_scores():
     assert name_score("DB_PASSWORD") == 1 and name_score("tokenCount") == 0
     assert literal_score("short") == 0 and literal_score("aB3dE5gH7iJ9") > 0.8
