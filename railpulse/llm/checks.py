@@ -44,4 +44,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM words LEFT JOIN kept USING (row)
 """
 
-SQL: dict[str, str] = {"op6_maxscore_top_k": OP6, "op8_repeated_passages": OP8}
+OP3 = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+    coalesce(sum(3 * source_size) OVER lower, 0) AS below,
+    coalesce(sum(weight) OVER lower, 0) AS weight_below
+  FROM sources
+  WINDOW lower AS (ORDER BY 3.0 * source_size / weight, source
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), limited AS (
+  SELECT *, 3 * source_size * (weights - weight_below) < weight * (total - below) AS full_up
+  FROM levels
+), shared AS (
+  SELECT source, source_size,
+    least(weight * CAST(total - coalesce(sum(3 * source_size) FILTER (full_up) OVER (), 0) AS DOUBLE)
+            / CAST(sum(weight) FILTER (NOT full_up) OVER () AS DOUBLE),
+          CAST(3 * source_size AS DOUBLE)) AS target
+  FROM limited
+), line AS (
+  SELECT s.doc_id, s.source, s.size, source_size, target,
+    CASE WHEN source_size > 0 THEN floor(target / source_size * 1048576) / 1048576 ELSE 0 END AS rate,
+    CAST(row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id NULLS FIRST) - 1 AS DOUBLE) AS k
+  FROM sized s JOIN shared t ON s.source IS NOT DISTINCT FROM t.source
+), tried AS (
+  SELECT *, CAST('0x' || substr(md5('mix:' || i || ':' || coalesce(source, '')), 1, 5) AS INTEGER)
+              / 1048576.0 AS u
+  FROM line, range(32) AS t(i)
+), taken AS (
+  SELECT *, CAST(size * (floor(CAST(u AS DOUBLE) + (k + 1) * rate) - floor(CAST(u AS DOUBLE) + k * rate))
+                 AS BIGINT) AS taken
+  FROM tried
+), best AS (
+  SELECT source, i FROM taken GROUP BY source, target, i
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken) - target), i) = 1
+)
+SELECT doc_id, size, source_size, target, taken
+FROM taken t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.i = b.i
+"""
+
+SQL: dict[str, str] = {
+    "op3_systematic_mix": OP3,
+    "op6_maxscore_top_k": OP6,
+    "op8_repeated_passages": OP8,
+}
