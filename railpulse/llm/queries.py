@@ -22,6 +22,8 @@ from railpulse.llm.topk import top_k
 from railpulse.llm.toxicity import THRESHOLD, held_out, scored, train
 from railpulse.sinks.tables import stored
 
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 1000
 #: Vocabulary of the token shards, a file of the installed public tokenizers.
 TOKENIZER = "word_bpe_49k.json"
 
@@ -34,8 +36,13 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers that share this machine's folders import the package without
-    an installation; elsewhere it is installed or sent with ``--py-files``."""
+    an installation; elsewhere it is installed or sent with ``--py-files``.
+
+    Texts are long rows, so a batch of them is kept to fewer rows than Spark's default;
+    a worker's memory follows the size of a batch.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def registered(build: Callable[[SparkSession, str], DataFrame]):
