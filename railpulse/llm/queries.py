@@ -171,6 +171,7 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
         .where("quality = 1")
         .select(F.col("doc_id").alias("_good"))
         .distinct()
+        .hint("merge")  # labels grow with the documents
     )
     marked = docs.join(good, F.col("doc_id") == F.col("_good"), "left")
     return cross_entropy_difference(marked, F.col("_good").isNotNull())
