@@ -32,7 +32,7 @@ def suffix_order(symbols: np.ndarray, distinct_first: int) -> np.ndarray:
         second = np.zeros(n, np.int64)
         second[: n - step] = rank[step:] + 1
         key = rank * (n + distinct_first + int(symbols.max()) + 2) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(fresh) - 1
@@ -55,7 +55,7 @@ class FMIndex:
         sizes = np.fromiter(map(len, sequences), np.int64, count)
         #: First place of each sequence; a separator follows its last word.
         self.first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)
-        self.sizes = sizes
+        self.sizes, self.copies = sizes, copies
         symbols = np.empty(int(sizes.sum()) + count, np.int64)
         ends = self.first + sizes
         symbols[ends] = np.arange(count)
@@ -116,7 +116,9 @@ class FMIndex:
         long = np.flatnonzero(self.sizes >= window)
         first, last = self.first[long], self.first[long] + self.sizes[long] - 1
         # A sequence that occurs twice as a whole has all of its windows twice.
-        reached = self.backward(last, first)
+        reached = first.copy()
+        single = np.flatnonzero(self.copies[long] < 2)
+        reached[single] = self.backward(last[single], first[single])
         count = self.sizes[long] - window + 1
         whole = reached == first
         masks[long[whole]] = (1 << count[whole]) - 1

@@ -29,14 +29,16 @@ from railpulse.sinks.tables import stored
 
 WINDOW = 35
 GRAM = 8
-#: Words of distinct segments in one shard, about.
-SHARD_WORDS = 400_000
+#: Bytes of distinct segments in one shard, about.
+SHARD_BYTES = 2 << 20
 #: A gram is frequent if it makes up more than this part of all; so there are at most as
 #: many of them as its inverse.
 FREQUENT = 1 / 50_000
 #: Frequent grams are marked in a table of this many bits; the order of hashes may also
 #: put a rare gram last that shares its place with one.
 _MARKS = 1 << 22
+_ROWS = 256  # documents whose segments are held at once
+_SEEN = 1 << 18  # segments a task remembers having passed on
 _COUNTED = 1 << 22  # grams a task counts before it passes on the frequent ones
 _MULTIPLIERS = tuple(
     np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -182,33 +184,35 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
-            out = {n: [] for n in ("row", "first", "size", "key", "digest", "words")}
-            for row, parts, text in zip(
-                batch.column(0).to_pylist(),
-                batch.column(1).to_pylist(),
-                as_bytes(batch.column(2)),
-                strict=True,
-            ):
-                firsts = [p["first"] for p in parts]
-                lengths = [p["size"] + window - 1 for p in parts]
-                for part, words in zip(parts, _slices(text, firsts, lengths), strict=True):
-                    digest = xxhash.xxh3_128_digest(words)
-                    fresh = digest not in seen
-                    if fresh:
-                        if len(seen) > 1 << 20:
-                            seen.clear()
-                        seen.add(digest)
-                    out["row"].append(row)
-                    out["first"].append(part["first"])
-                    out["size"].append(part["size"])
-                    out["key"].append(part["key"])
-                    out["digest"].append(digest)
-                    out["words"].append(words if fresh else None)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=[*out]
-            )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        for whole in batches:
+            for i in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(i, _ROWS)
+                out = {n: [] for n in ("row", "first", "key", "digest", "words")}
+                for row, parts, text in zip(
+                    batch.column(0).to_pylist(),
+                    batch.column(1).to_pylist(),
+                    as_bytes(batch.column(2)),
+                    strict=True,
+                ):
+                    firsts = [p["first"] for p in parts]
+                    lengths = [p["size"] + window - 1 for p in parts]
+                    for part, words in zip(parts, _slices(text, firsts, lengths), strict=True):
+                        digest = xxhash.xxh3_128_digest(words)
+                        fresh = digest not in seen
+                        if fresh:
+                            if len(seen) >= _SEEN:
+                                seen.clear()
+                            seen.add(digest)
+                        out["row"].append(row)
+                        out["first"].append(part["first"])
+                        out["key"].append(part["key"])
+                        out["digest"].append(digest)
+                        out["words"].append(words if fresh else None)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)],
+                    names=[*out],
+                )
 
     # Each task gives the words of equal segments once.
     places = stored(
@@ -216,7 +220,7 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
         .select("row", "parts", "text")
         .mapInArrow(
             read,
-            "row bigint, first bigint, size int, key bigint, digest binary, words binary",
+            "row bigint, first bigint, key bigint, digest binary, words binary",
         ),
         "places",
     )
@@ -225,12 +229,11 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
             F.count(F.lit(1)).alias("copies"),
             F.first("words", ignorenulls=True).alias("words"),
             F.first("key").alias("key"),
-            F.first("size").alias("size"),
         ),
         "distinct",
     )
-    words = distinct.agg(F.sum(F.col("size") + window - 1)).first()[0] or 0
-    shards = words // SHARD_WORDS + 1
+    size = distinct.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    shards = size // SHARD_BYTES + 1
 
     def search(shard: pa.Table) -> pa.Table:
         sequences = [w.split() for w in shard["words"].to_pylist()]
