@@ -224,16 +224,13 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
         ),
         "places",
     )
-    distinct = stored(
-        places.groupBy("digest").agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.first("words", ignorenulls=True).alias("words"),
-            F.first("key").alias("key"),
-        ),
-        "distinct",
-    )
-    size = distinct.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    size = places.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = size // SHARD_BYTES + 1
+    distinct = places.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.first("words", ignorenulls=True).alias("words"),
+        F.first("key").alias("key"),
+    )
 
     def search(shard: pa.Table) -> pa.Table:
         sequences = [w.split() for w in shard["words"].to_pylist()]
