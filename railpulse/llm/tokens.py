@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,11 +23,14 @@ from railpulse.session import shared_folder
 
 END = 1
 SHARD_TOKENS = 1 << 20
-_ROWS = 256  # documents encoded at once
-#: Distinct words whose ids a worker keeps from task to task; then it starts anew.
-CACHED_WORDS = 1_500_000
+_ROWS, _BYTES = 1000, 4 << 20  # of documents encoded at once; a longer text comes alone
+#: Distinct words whose ids a worker keeps from task to task. Twice as many are held at
+#: most: the older half goes when the newer is full, but for words met again since.
+CACHED_WORDS = 400_000
 
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: A run of Latin letters and ASCII marks after it. An apostrophe may begin a contraction,
+#: which is cut otherwise.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,6 +41,10 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"={len(ids)}I", *ids)
+
+
 class Encoder:
     """Token ids of texts, each distinct word encoded once.
 
@@ -49,22 +57,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.levels = max(2, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.known: dict[str, list[int]] = {}
+        #: Ids of words as unsigned 32-bit numbers in a row: a list takes thrice the memory.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
-    def _whole(self, word: str) -> list[int]:
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    def _whole(self, word: str) -> bytes:
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def _letters(self, word: str) -> list[int]:
+    def _letters(self, word: str) -> bytes:
         """Ids of one run of Latin letters, straight from the model."""
-        if (ids := self.known.get(word)) is None:
+        if (ids := self._kept(word)) is None:
             shown = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
-            ids = self.known[word] = [t.id for t in self.model.tokenize(shown)]
+            ids = self.known[word] = _packed([t.id for t in self.model.tokenize(shown)])
         return ids
 
-    def word(self, word: str) -> list[int]:
+    def _kept(self, word: str) -> bytes | None:
+        if (ids := self.known.get(word)) is None and (ids := self.older.get(word)) is not None:
+            self.known[word] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
         """Ids of a stretch without plain spaces and line ends."""
-        if (ids := self.known.get(word)) is None:
+        if (ids := self._kept(word)) is None:
             simple = _SIMPLE.fullmatch(word)
             if simple and len(word) < 200 and unicodedata.is_normalized("NFC", word):
                 run, marks = simple.groups()
@@ -76,8 +91,8 @@ class Encoder:
             self.known[word] = ids
         return ids
 
-    def marks(self, marks: str) -> list[int]:
-        if (ids := self.known.get(marks)) is None:
+    def marks(self, marks: str) -> bytes:
+        if (ids := self._kept(marks)) is None:
             ids = self.known[marks] = self._whole(marks)
         return ids
 
@@ -87,11 +102,15 @@ class Encoder:
         split = pc.split_pattern(texts, " ")
         words = split.flatten().dictionary_encode()
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        each = [self.word(w) for w in words.dictionary.to_pylist()]
-        size = np.fromiter(map(len, each), np.int64, len(each))
+            self.known, self.older = {}, self.known
+        distinct = words.dictionary.to_pylist()
+        each = list(map(self.known.get, distinct))
+        for i, ids in enumerate(each):
+            if ids is None:
+                each[i] = self.word(distinct[i])
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
-        flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(size.sum()))
+        flat = np.frombuffer(b"".join(each), np.uint32)
         of = words.indices.to_numpy(zero_copy_only=False)
         sizes = size[of]
         ends = np.cumsum(sizes)
@@ -113,6 +132,18 @@ def encoder(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in turn, so many together that their texts have about ``most`` bytes."""
+    first, held = 0, 0
+    for row, size in enumerate(pc.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+        if row > first and (held + size > most or row - first >= _ROWS):
+            yield batch.slice(first, row - first)
+            first, held = row, 0
+        held += size
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def write_shards(
     docs: DataFrame,
     tokenizer: str,
@@ -128,8 +159,8 @@ def write_shards(
     Returns the folder written (a fresh one in the shared folder without ``root``). Its
     rows are shards in the order of (part, shard): ``payload`` is one compressed file in
     the format of ``WaveletMatrix``, ``doc_ids`` and ``lengths`` are its documents and
-    ``before`` the ids of earlier shards of its part. A shard ends with the document that
-    fills ``shard_tokens``. ``tokenizer`` is the path of a tokenizer file on the driver.
+    ``before`` the ids of earlier shards of its part. A shard ends with the few documents,
+    encoded together, that fill ``shard_tokens``. ``tokenizer`` is the path of a tokenizer file on the driver.
 
     Null texts count as empty and hold the end id alone; null doc_ids come first; equal
     doc_ids are ordered by text; an empty table writes no shard; other columns are ignored.
@@ -166,8 +197,7 @@ def write_shards(
 
         held = 0
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                rows = batch.slice(i, _ROWS)
+            for rows in _pieces(batch, min(_BYTES, 4 * shard_tokens)):
                 values, sizes = encode.encode(rows.column(1))
                 at = np.cumsum(sizes)
                 values = np.insert(values, at, end)
