@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.llm import quality
 from railpulse.llm.decontaminate import contaminated
-from railpulse.llm.lmscore import cross_entropy_difference
+from railpulse.llm.lmscore import word_cross_entropy_difference
 from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.repeats import without_repeats
 from railpulse.llm.secrets import find_secrets
@@ -174,4 +174,4 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
         .hint("merge")  # labels grow with the documents
     )
     marked = docs.join(good, F.col("doc_id") == F.col("_good"), "left")
-    return cross_entropy_difference(marked, F.col("_good").isNotNull())
+    return word_cross_entropy_difference(marked, F.col("_good").isNotNull())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from railpulse.llm import quality, toxicity
-from railpulse.llm.lmscore import cross_entropy_difference, losses
+from railpulse.llm.lmscore import cross_entropy_difference, losses, word_cross_entropy_difference
 from railpulse.llm.queries import REGISTRY
 
 SF = "/root/testdata/sf0.01"
@@ -133,3 +133,29 @@ def test_language_model_rows(spark, documents, labels):
     rows = REGISTRY["op10_cross_entropy_difference"](spark, SF).collect()
     mean = {q: np.mean([r.score for r in rows if r.doc_id in labels and labels[r.doc_id].quality == q]) for q in (0, 1)}
     assert len(rows) == 1000 and mean[1] < mean[0]
+
+
+def test_word_order_and_counts_of_all_words(spark, documents):
+    texts = ["The cat  sat", "the dog sat on the cat", "cat the sat", "zzz qqq zzz qqq", "é the", "", None, "the cat sat"]
+    docs = documents(list(enumerate(texts)))
+    got = {r.doc_id: r for r in word_cross_entropy_difference(docs, F.col("doc_id") < 2).collect()}
+    pairs = [[*zip(["", *w], w, strict=False)] for w in ((t or "").lower().split() for t in texts)]
+    words = {w for p in pairs for _, w in p}
+
+    def loss(p, seen):
+        one = (sum(w == p[1] for _, w in seen) + 1) / (len(seen) + len(words))
+        return -np.log((seen.count(p) + 8 * one) / (sum(b == p[0] for b, _ in seen) + 8))
+
+    target, background = pairs[0] + pairs[1], [p for ps in pairs for p in ps]
+    for i, ps in enumerate(pairs):
+        want = sum(loss(p, target) - loss(p, background) for p in ps) / max(1, len(ps))
+        assert got[i].score == pytest.approx(want, abs=1e-9) and got[i].n_tokens == len(ps)
+    assert got[0].score != got[2].score  # the same words in another order
+    assert word_cross_entropy_difference(docs, F.lit(None).cast("boolean")).count() == len(texts)
+    assert word_cross_entropy_difference(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_language_model_query_counts_words(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = REGISTRY["op10_cross_entropy_difference"](spark, SF).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len((t or "").encode().split()) for i, t in texts.items()}
