@@ -152,8 +152,9 @@ def _slices(text: bytes, firsts: list[int], lengths: list[int]) -> Iterator[byte
 
 
 def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(row, firsts, masks): of every row of (row, text) with repeated windows the
-    segments that hold some, by first word, and a bit mask of the windows repeated."""
+    """(row, hits): of every row of (row, text) with repeated windows the segments that
+    hold some, by first word, and a bit mask of the windows repeated. Rows of one ``row``
+    have to be of one text; they are counted each and come back once."""
     spark = docs.sparkSession
     marks = spark.sparkContext.broadcast(frequent_marks(docs, gram))
 
@@ -164,27 +165,27 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
                 for t in as_bytes(batch.column(1))
             ]
             sizes = np.array([len(f[0]) for f in found], np.int64)
-            rows = np.repeat(batch.column(0).to_numpy(), sizes)
+            rows = batch.column(0).take(pa.array(np.repeat(np.arange(len(found)), sizes)))
             first, size, key = (np.concatenate([f[i] for f in found]) for i in range(3))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(first), pa.array(size, pa.int32()), pa.array(key)],
+                [rows, pa.array(first), pa.array(size, pa.int32()), pa.array(key)],
                 names=["row", "first", "size", "key"],
             )
 
     cuts = stored(
-        docs.select("row", "text").mapInArrow(cut, "row bigint, first bigint, size int, key bigint"),
+        docs.select("row", "text").mapInArrow(cut, "row binary, first bigint, size int, key bigint"),
         "segments",
     )
     again = cuts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     wanted = (
         cuts.join(again, "key", "left_semi")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("first", "size", "key"))).alias("parts"))
+        .agg(F.sort_array(F.collect_set(F.struct("first", "size", "key"))).alias("parts"))
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for whole in batches:
             for i in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(i, _ROWS)
@@ -220,7 +221,7 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
         .select("row", "parts", "text")
         .mapInArrow(
             read,
-            "row bigint, first bigint, key bigint, digest binary, words binary",
+            "row binary, first bigint, key bigint, digest binary, words binary",
         ),
         "places",
     )
@@ -253,7 +254,7 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
         places.select("row", "first", "digest")
         .join(masks, "digest")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("first", "mask"))).alias("hits"))
+        .agg(F.sort_array(F.collect_set(F.struct("first", "mask"))).alias("hits"))
     )
 
 
@@ -286,12 +287,13 @@ def without_repeats(
     A window of ``window`` words is repeated if its word sequence also starts anywhere
     else, in the same text or another; windows are judged on the input. Null texts have
     no words; texts shorter than a window are kept whole; repeated rows remove each
-    other; an empty table gives no rows; other columns are ignored. ``docs`` has to give
-    the same rows in the same partitions whenever it is read, as files do; pass it
-    through ``stored`` if it does not.
+    other; an empty table gives no rows; other columns are ignored. ``docs`` is read
+    several times, in any order and cut into any partitions: a row goes by a digest of
+    its id and text, not by its place.
     """
+    own, body = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        F.unhex(F.md5(F.concat(F.length(own).cast("string"), F.lit(":"), own, body))).alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.col(text).cast("string").alias("text"),
     )

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from railpulse.llm.fmindex import FMIndex
@@ -76,3 +77,25 @@ def test_odd_rows(spark, documents):
     rows = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in without_repeats(docs).collect())
     assert rows == [(0, 2, 0), (1, 0, 0), (2, 150_000, 0), (3, 2, 0)]
     assert without_repeats(docs.limit(0)).count() == 0
+
+
+def test_rows_that_move_between_reads(spark, documents):
+    def shuffled(batches):
+        rng = np.random.default_rng()
+        for batch in batches:
+            yield batch.take(pa.array(rng.permutation(batch.num_rows)))
+
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [" ".join(f"w{i}x{j}" for j in range(i)) for i in range(60)]
+    texts += [f"{t} {passage} end{i}" for i, t in enumerate(texts)]
+    docs = documents(list(enumerate(texts))).select("doc_id", "text").coalesce(1)
+    moving = docs.mapInArrow(shuffled, docs.schema)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in without_repeats(moving).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 35)
+
+
+def test_equal_rows_are_counted_each(spark, documents):
+    text, other = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(1, text), (1, text), (None, other), (2, None), (None, None)]
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in without_repeats(documents(rows)).collect())
+    assert got == [(0, 0, 0), (0, 50, 0), (1, 50, 50), (1, 50, 50), (2, 0, 0)]
