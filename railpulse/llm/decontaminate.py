@@ -23,16 +23,30 @@ from railpulse.sinks.tables import stored
 #: Bytes of benchmark text that one search holds; a larger benchmark takes more searches.
 BLOCK_BYTES = 8 << 20
 BUDGET = 0.08
-#: An item with fewer characters is common wording and identifies no document.
+#: An item with fewer characters has to occur as it is, between word edges, and is no
+#: reason to drop a document: it may be common wording.
 LEAST_CHARS = 24
 
 _NOT_WORD = re.compile(r"[\W_]+")
+#: Scripts that set no spaces between words, so that a word may begin at any character.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+    "\U00020000-\U0003ffff]"
+)
 
 
 def normal(text: str | None) -> str:
     return _NOT_WORD.sub(" ", text.lower()).strip() if text else ""
 
 
+def _edges(text: str, start: int, end: int) -> bool:
+    """Whether a stretch of a normal text begins and ends where words do."""
+    return all(
+        at in (0, len(text)) or " " in (pair := text[at - 1 : at + 1]) or _UNSPACED.search(pair)
+        for at in (start, end)
+    )
+
+
 def best_distance(pattern: str, text: str) -> int:
     """The least edit distance of the pattern to any stretch of the text."""
     if pattern in text:
@@ -62,10 +76,14 @@ def best_distance(pattern: str, text: str) -> int:
 
 
 class Pieces:
-    """A block of items, ready to be searched for in texts."""
-
-    def __init__(self, items: list[tuple[int, str]], budget: float):
-        self.items = [(i, t, int(budget * len(t))) for i, t in items]
+    """A block of items, ready to be searched for in texts. Those with fewer than
+    ``least_chars`` characters are found unchanged and between word edges only."""
+
+    def __init__(self, items: list[tuple[int, str]], budget: float, least_chars: int = 0):
+        self.least_chars = least_chars
+        self.items = [
+            (i, t, int(budget * len(t)) if len(t) >= least_chars else 0) for i, t in items
+        ]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (_, text, k) in enumerate(self.items):
             cuts = [j * len(text) // (k + 1) for j in range(k + 2)]
@@ -84,6 +102,8 @@ class Pieces:
             for number, offset in places:
                 n, k = len(self.items[number][1]), self.items[number][2]
                 start = end + 1 - length - offset
+                if n < self.least_chars and not _edges(text, start, start + n):
+                    continue
                 a, b = max(0, start - k), start + n + k
                 # Hits come by their end, so windows of one item come nearly sorted.
                 known = windows[number]
@@ -133,8 +153,9 @@ def contaminated(
     The benchmark is read in blocks of about ``block_bytes``, by hash of its items, so
     what is sent to the tasks is bounded whatever its size; every block meets every
     document. Documents are not shuffled. Null and empty texts contain nothing; items
-    that are null or shorter than ``least_chars`` are in no document; equal items are
-    each reported; repeated documents give repeated rows; an empty table on either side
+    that are null or have no words are in no document; items shorter than ``least_chars``
+    are reported where they occur unchanged between word edges; equal items are each
+    reported; repeated documents give repeated rows; an empty table on either side
     gives no rows; other columns are ignored.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -146,7 +167,7 @@ def contaminated(
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pieces = Pieces(sent.value, budget)
+            pieces = Pieces(sent.value, budget, least_chars)
             for batch in batches:
                 rows, ids, far = [], [], []
                 for row, t in enumerate(batch.column(1).to_pylist()):
@@ -166,7 +187,7 @@ def contaminated(
         return texts.mapInArrow(run, schema)
 
     whole, before = None, None
-    for block in _blocks(benchmark, item_id, item_text, least_chars, block_bytes):
+    for block in _blocks(benchmark, item_id, item_text, 1, block_bytes):
         if before is not None:  # more than one block: each is searched in turn
             before = stored(before, "leaks")
             whole = before if whole is None else whole.unionByName(before)
@@ -185,7 +206,8 @@ def decontaminated(
     least_chars: int = LEAST_CHARS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows that contain no benchmark item, with all of their columns, in place."""
+    """The rows that contain no benchmark item of ``least_chars`` characters or more, with
+    all of their columns, in place."""
     at = docs.columns.index(text)
     for block in _blocks(benchmark, item_id, item_text, least_chars, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(block)

@@ -87,3 +87,14 @@ def test_a_large_benchmark_is_read_in_blocks(spark, documents):
     rows = contaminated(docs, bench, block_bytes=1000).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i, _ in items if i % 2}
     assert [r.doc_id for r in decontaminated(docs, bench, block_bytes=1000).collect()] == [99]
+
+
+def test_short_items_are_reported_unchanged_between_word_edges(spark, documents):
+    items = [(1, "Who was it?"), (2, "日本の首都は何ですか"), (3, "???"), (4, "a question of 19 ch")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(
+        [(1, "So: who  WAS it, then"), (2, "who was item"), (3, "問題:日本の首都は何ですかという"), (4, "a question of 18 ch"), (5, "xwho was it")]
+    )
+    rows = sorted((r.doc_id, r.item_id, r.distance) for r in contaminated(docs, bench).collect())
+    assert rows == [(1, 1, 0), (3, 2, 0)]
+    assert decontaminated(docs, bench).count() == 5
