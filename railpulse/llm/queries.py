@@ -15,6 +15,7 @@ from railpulse.llm.decontaminate import contaminated
 from railpulse.llm.lmscore import word_cross_entropy_difference
 from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.repeats import without_repeats
+from railpulse.llm.runs import periodic_runs
 from railpulse.llm.secrets import find_secrets
 from railpulse.llm.simhash import near_duplicates
 from railpulse.llm.tokens import encoded
@@ -175,3 +176,51 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
     )
     marked = docs.join(good, F.col("doc_id") == F.col("_good"), "left")
     return word_cross_entropy_difference(marked, F.col("_good").isNotNull())
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) in which every tenth, by the checksum of its id, repeats a
+    stretch of its words to its end. Only those texts are cut into words here."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), "")
+    g = F.floor(h / 10)
+    cut = docs.select(
+        "doc_id", "text", F.when(h % 10 == 0, words).alias("w"), g.cast("bigint").alias("g")
+    ).withColumn("n", F.size("w"))
+    a = F.expr("cast(g % n as int)")
+    placed = cut.withColumn("a", F.when(F.col("n") > 0, a)).withColumn(
+        "p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)")
+    )
+    planted = F.expr(
+        "array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p),"
+        " cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some of them planted, and digests of the
+    runs and of the text without the repeats."""
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform(
+        "runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    )
+    longest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")
+            ),
+        )
+    )
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("longest.length * 1000 div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
