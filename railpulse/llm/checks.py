@@ -90,8 +90,42 @@ SELECT doc_id, size, source_size, target, taken
 FROM taken t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.i = b.i
 """
 
+OP13 = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), sizes AS (
+  SELECT row, count(*) AS n FROM terms GROUP BY row
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes
+), held AS (
+  SELECT row, doc_id, term, CAST(count(*) AS BIGINT) AS tf
+  FROM terms SEMI JOIN asked USING (term) GROUP BY row, doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, docs
+), scores AS (
+  SELECT item, item_id, row, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (row), totals
+  GROUP BY item, item_id, row, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op3_systematic_mix": OP3,
+    "op13_ranked_search": OP13,
     "op6_maxscore_top_k": OP6,
     "op8_repeated_passages": OP8,
 }

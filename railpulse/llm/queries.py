@@ -14,6 +14,7 @@ from railpulse.llm import quality
 from railpulse.llm.decontaminate import contaminated
 from railpulse.llm.lmscore import word_cross_entropy_difference
 from railpulse.llm.mixing import mix, word_count
+from railpulse.llm.ranked import ranked_search
 from railpulse.llm.repeats import without_repeats
 from railpulse.llm.runs import periodic_runs
 from railpulse.llm.secrets import find_secrets
@@ -224,3 +225,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@registered
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

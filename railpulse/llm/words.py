@@ -40,3 +40,17 @@ def word_blocks(text: bytes | None, block: int = _BLOCK) -> Iterator[list[bytes]
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
+
+
+#: Bytes of a term: digits, ASCII letters in lower case, and all beyond ASCII.
+_TERM_BYTES = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
+    for b in range(256)
+)
+
+
+def term_blocks(text: bytes | None) -> Iterator[list[bytes]]:
+    """Like ``word_blocks``, with A-Z lower-cased and every other ASCII character than
+    letters and digits taken for a space."""
+    if text:
+        yield from word_blocks(text.translate(_TERM_BYTES))
