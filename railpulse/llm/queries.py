@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.llm import quality
 from railpulse.llm.decontaminate import contaminated
+from railpulse.llm.licenses import scan_licenses
 from railpulse.llm.lmscore import word_cross_entropy_difference
 from railpulse.llm.mixing import mix, word_count
 from railpulse.llm.ranked import ranked_search
@@ -231,3 +232,25 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten documents that score highest for every benchmark item."""
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names, and where the base phrases stand."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"])
+
+    def labels(places: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["confidence"])), F.lit(0.0)).alias("score"),
+    )
