@@ -568,6 +568,13 @@ FROM events""",
         BRONZE_USAGE,
         """
 SELECT 'INFO-200 no data' AS reason, count(*) AS pages FROM bronze WHERE GTON_TNOPE IS NULL""",
+    ),
+    "landed_pages_and_rejects": _with(
+        BRONZE_USAGE,
+        """
+SELECT USE_YMD AS what, count(*) AS n, CAST(sum(CAST(GTON_TNOPE AS BIGINT)) AS BIGINT) AS boarded
+FROM bronze WHERE GTON_TNOPE IS NOT NULL GROUP BY USE_YMD
+UNION ALL SELECT 'INFO-200 no data', count(*), NULL FROM bronze WHERE GTON_TNOPE IS NULL""",
     ),
     "arrival_envelope_rows": _with(
         BRONZE_ARRIVALS,

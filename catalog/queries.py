@@ -24,6 +24,8 @@ from railpulse.functions.times import (
 )
 from railpulse.operators import alerts, metrics, ranking, report, ridership, silver, stations
 from railpulse.operators.drift import union_drifting
+from railpulse.plans.lake import Lake
+from railpulse.plans.ridership import land_pages
 from railpulse.session import shared_folder
 from railpulse.sinks.compaction import compact
 from railpulse.sinks.messages import publish_to_folder, ready_messages
@@ -493,7 +495,8 @@ def _usage_pages(spark, sf_dir):
         result.alias("RESULT"),
         F.when(~failed, F.array(F.struct(*rows.columns))).alias("row"),
     )
-    return rows.select(F.to_json(F.struct(page.alias("CardSubwayStatsNew"))).alias("body"))
+    # The test table is one file, so one task would parse all of its pages.
+    return rows.select(F.to_json(F.struct(page.alias("CardSubwayStatsNew"))).alias("body")).hint("rebalance")
 
 
 @query
@@ -524,7 +527,7 @@ def _arrival_documents(spark, sf_dir):
         ),
     )
     document = F.struct(board.alias("realtimeArrivalList"), error.alias("errorMessage"))
-    return rows.select(F.to_json(document).alias("body"))
+    return rows.select(F.to_json(document).alias("body")).hint("rebalance")
 
 
 #: Declared arrival fields that the test documents do not send.
@@ -543,6 +546,20 @@ def arrival_envelope_rejects(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
 
 
+@query
+def landed_pages_and_rejects(spark, sf_dir):
+    """All pages landed in one parse; what is in bronze and what was set aside."""
+    lake, refused = Lake(shared_folder(spark, "lake")), shared_folder(spark, "refused")
+    land_pages(_usage_pages(spark, sf_dir), lake, F.lit(SINGLE_WINDOW_AS_OF), rejects=refused)
+    rows = read_table(spark, lake.bronze_usage).groupBy(F.col("USE_YMD").alias("what")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("GTON_TNOPE").cast("bigint")).alias("boarded")
+    )
+    rejects = read_table(spark, refused).groupBy(F.col("reason").alias("what")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("boarded")
+    )
+    return rows.unionByName(rejects)
+
+
 # --- tables written and read back ---------------------------------------------------------------
 
 

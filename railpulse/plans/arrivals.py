@@ -15,8 +15,9 @@ from railpulse.operators.metrics import hours_of, window_metrics
 from railpulse.operators.silver import land_arrivals, silver_arrivals
 from railpulse.operators.stations import enrich_events, station_kpi
 from railpulse.plans.lake import Lake
-from railpulse.sinks.tables import append, replace_partition
-from railpulse.sources.envelopes import failed_envelopes, unpack_arrivals
+from railpulse.plans.landing import land
+from railpulse.sinks.tables import replace_partition
+from railpulse.sources.envelopes import ARRIVALS
 from railpulse.sources.listing import latest_partition
 from railpulse.sources.tables import read_table
 
@@ -28,15 +29,27 @@ METRICS_SCHEMA = (
 )
 
 
-def land_snapshot(documents: DataFrame, lake: Lake, snapshot: Column) -> None:
-    """Landed arrival documents into bronze; an error envelope stops the run."""
-    unpacked = unpack_arrivals(documents)
-    failed_envelopes(unpacked)
-    append(
-        land_arrivals(unpacked.rows, snapshot),
+def land_snapshot(
+    documents: DataFrame, lake: Lake, snapshot: Column, *, rejects: str | None = None
+) -> None:
+    """Landed arrival documents into bronze, each parsed once.
+
+    An error envelope stops the run before anything is committed; with a ``rejects`` root
+    it is appended there with its reason, and the run goes on.
+    """
+
+    def bronze(rows: DataFrame) -> DataFrame:
+        tagged = rows.withColumn("query_station_name", F.lit(S.WHOLE_NETWORK_QUERY))
+        return land_arrivals(tagged, snapshot)
+
+    land(
+        documents,
+        ARRIVALS,
+        bronze,
         lake.bronze_arrivals,
         partition_by=(*S.ARRIVAL_PARTITION, "minute"),
         format=lake.format,
+        rejects=rejects,
     )
 
 

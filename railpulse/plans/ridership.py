@@ -10,8 +10,9 @@ from railpulse.functions.times import day_part_columns, day_parts, parse_day
 from railpulse.operators.ridership import line_totals, station_totals
 from railpulse.operators.silver import land_usage, silver_usage
 from railpulse.plans.lake import Lake
-from railpulse.sinks.tables import append, replace_partition
-from railpulse.sources.envelopes import failed_envelopes, unpack_usage
+from railpulse.plans.landing import land
+from railpulse.sinks.tables import replace_partition
+from railpulse.sources.envelopes import USAGE
 from railpulse.sources.tables import read_if_present, read_table
 
 SILVER_SCHEMA = (
@@ -20,15 +21,19 @@ SILVER_SCHEMA = (
 )
 
 
-def land_pages(documents: DataFrame, lake: Lake, ingested: Column) -> None:
-    """Landed ridership pages into bronze; an error page stops the run."""
-    unpacked = unpack_usage(documents)
-    failed_envelopes(unpacked)
-    append(
-        land_usage(unpacked.rows, ingested),
+def land_pages(
+    documents: DataFrame, lake: Lake, ingested: Column, *, rejects: str | None = None
+) -> None:
+    """Landed ridership pages into bronze, each parsed once; an error page stops the run
+    or, with a ``rejects`` root, is appended there."""
+    land(
+        documents,
+        USAGE,
+        lambda rows: land_usage(rows, ingested),
         lake.bronze_usage,
         partition_by=S.USAGE_PARTITION,
         format=lake.format,
+        rejects=rejects,
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -45,6 +46,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(root)
 
 
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like ``stored`` for the length of a ``with`` block, which removes the folder at its
+    end; all that is built on the frame must be written by then."""
+    root = shared_folder(df.sparkSession, label)
+    try:
+        df.write.parquet(root)
+        yield df.sparkSession.read.schema(df.schema).parquet(root)
+    finally:
+        _remove_folders(df.sparkSession, [root])
+
+
 def append(
     df: DataFrame, root: str, *, partition_by: Sequence[str] = (), format: str = "parquet"
 ) -> None:

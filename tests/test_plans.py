@@ -2,6 +2,7 @@ import json
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from railpulse.plans import arrivals as A
@@ -67,6 +68,21 @@ def test_error_board_stops_the_run(spark, lake):
         A.land_snapshot(doc, lake, F.lit(at("2024-01-05 10:00:00")))
 
 
+def test_landing_with_errors_set_aside(spark, lake, folder):
+    error = spark.createDataFrame([('{"errorMessage":{"code":"E"}}',)], "body string")
+    documents = board(spark, ("2024-01-05 09:58:00", 700, "0")).union(error).union(
+        board(spark, ("2024-01-05 09:59:00", 100, "1"))
+    )
+    at_nine = F.lit(at("2024-01-05 09:59:30"))
+    with pytest.raises(RuntimeError, match="rejected: E"):
+        A.land_snapshot(documents.repartition(3), lake, at_nine)
+    with pytest.raises(AnalysisException):  # nothing of the batch was committed
+        read_table(spark, lake.bronze_arrivals).count()
+    A.land_snapshot(documents, lake, at_nine, rejects=folder("refused"))
+    assert rows(read_table(spark, lake.bronze_arrivals), "barvlDt") == [("100",), ("700",)]
+    assert rows(read_table(spark, folder("refused")), "body", "reason") == [('{"errorMessage":{"code":"E"}}', "E")]
+
+
 def page(spark, *counts):
     row = [{"USE_YMD": "20240101", "SBWY_ROUT_LN_NM": "1", "SBWY_STNS_NM": "A", "GTON_TNOPE": on,
             "GTOFF_TNOPE": off, "REG_YMD": reg} for on, off, reg in counts]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from railpulse.operators import alerts, metrics
 from railpulse.sinks import messages as Ms
+from railpulse import settings as S
 from railpulse.sources import envelopes, topics
 from railpulse.sources.tables import read_table
 from railpulse.streaming import events, runs
@@ -142,8 +143,32 @@ def test_envelopes(spark, folder, tmp_path):
 
 def test_a_document_is_parsed_once(spark, folder):
     spark.createDataFrame([("{}",)], "value string").write.text(folder("one"))
-    plan = plan_of(envelopes.unpack_usage(envelopes.read_documents(spark, folder("one"))).rows)
-    assert plan.count("from_json") == 1
+    docs = envelopes.read_documents(spark, folder("one"))
+    for kind in (envelopes.ARRIVALS, envelopes.USAGE):
+        for strict in (False, True):
+            found = envelopes.opened(docs, kind, strict=strict)
+            assert plan_of(envelopes.rows_of(found, kind)).count("parseJson") == 1
+            assert plan_of(found).count("parseJson") == 1
+        refused = plan_of(envelopes.rejected(docs, kind))
+        assert refused.count("from_json") == 1 and S.USAGE_DAY not in refused  # no items are read
+
+
+def test_both_parses_refuse_the_same_documents(spark):
+    service = lambda **given: json.dumps({"CardSubwayStatsNew": given})
+    bodies = [
+        None, "", "{", "[]", "7", "null", "{}", '{"CardSubwayStatsNew": null}', '{"CardSubwayStatsNew": 3}',
+        service(), service(RESULT=None, row=[{}]), service(RESULT={"CODE": "INFO-200"}, row=[{"USE_YMD": "1"}]),
+        service(RESULT={"CODE": "INFO-000"}, row=[]), service(RESULT={"CODE": "INFO-000"}, row=None),
+        '{"realtimeArrivalList": null, "errorMessage": {"status": 500, "code": "E"}}',
+        '{"realtimeArrivalList": [], "errorMessage": {"code": "E"}}', '{"realtimeArrivalList": [{"a": {"b": [1]}}]}',
+    ]
+    docs = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "n int, body string")
+    for kind in (envelopes.ARRIVALS, envelopes.USAGE):
+        both = envelopes.rejects_of(envelopes.opened(docs, kind)), envelopes.rejected(docs, kind)
+        wide, narrow = (rows(r, "n", "body", "reason") for r in both)
+        assert wide == narrow and len(wide) > 8
+    found = envelopes.rows_of(envelopes.opened(docs, envelopes.ARRIVALS), envelopes.ARRIVALS)
+    assert rows(found, "n", "other_fields") == [(16, '{"a":{"b":[1]}}')]
 
 
 def test_documents(spark, folder):
