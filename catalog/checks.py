@@ -614,6 +614,29 @@ FROM usage GROUP BY use_ymd, line_name""",
     "stream_arrival_metrics_15m": _with(
         ARRIVALS, sliding(15, 5), metric_rows(15, f"window_end <= {CLOSED}")
     ),
+    "stream_metrics_over_files": _with(
+        ARRIVALS, sliding(15, 5), metric_rows(15, f"window_end <= {CLOSED}")
+    ),
+    "stream_late_windows_rerun": f"""
+SELECT m.*, late_rows FROM ({_with(ARRIVALS, sliding(15, 5), metric_rows(15))}) m JOIN (
+  SELECT to_timestamp(slot * 300 + i * 300 + 300) AT TIME ZONE 'UTC' AS missed_end, CAST(count(*) AS BIGINT) AS late_rows
+  FROM (SELECT CAST(floor(epoch(ts) / 300) AS BIGINT) AS slot FROM events WHERE event_id % 40 = 0), range(3) AS t(i)
+  WHERE to_timestamp(slot * 300 + 300) AT TIME ZONE 'UTC' <=
+    (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events WHERE event_id % 40 <> 0)
+  GROUP BY ALL
+) ON missed_end = window_end_ts""",
+    "stream_latest_versions": """
+WITH marked AS (
+  SELECT *, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 1 HOUR AS anew
+  FROM events
+), quiet AS (
+  SELECT *, count(*) FILTER (WHERE anew) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS spell
+  FROM marked
+)
+SELECT user_id, event_id % 97 AS version, event_id, ts AS t FROM quiet
+QUALIFY row_number() OVER (PARTITION BY user_id, spell ORDER BY event_id % 97 DESC, event_id DESC) = 1
+  AND max(ts) OVER (PARTITION BY user_id, spell) + INTERVAL 1 HOUR
+      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 8 HOUR FROM events)""",
     "stream_dedup": "SELECT event_id, user_id, ts AS t FROM events",
     "stream_window_replace": _with(
         ARRIVALS,

@@ -36,7 +36,8 @@ from railpulse.sources.listing import latest_partition
 from railpulse.sources.tables import read_catalog_table, read_drifting_files, read_table
 from railpulse.sources.topics import file_stream
 from railpulse.streaming import events as stream_events
-from railpulse.streaming.arrivals import distinct_stream, metrics_stream
+from railpulse.streaming import late as late_rows
+from railpulse.streaming.arrivals import distinct_stream, latest_stream, metrics_stream, timed_stream
 from railpulse.streaming.runs import for_each_batch, window_replacer, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -686,3 +687,56 @@ def stream_window_replace(spark, sf_dir):
     for_each_batch(stream, writer, checkpoint).awaitTermination()
     stored = read_table(spark, root)
     return alerts.window_health(stored)
+
+
+def _files_in_turn(spark, sf_dir, part, parts):
+    """Events as a stream of files that come in one after the other, one to a batch."""
+    events, root = I.table(spark, sf_dir, "events"), shared_folder(spark, "incoming")
+    for i in range(parts):
+        append(events.where(part == i), root)
+    return file_stream(spark, root, events.schema, files_per_trigger=1)
+
+
+@query
+def stream_metrics_over_files(spark, sf_dir):
+    """Exact metrics of windows whose rows come in over several files and batches."""
+    day = F.dayofmonth("ts")
+    stream = _files_in_turn(spark, sf_dir, F.floor((day - 1) / 8), 4)
+    return _finished(spark, metrics_stream(I.arrivals(stream)), "metrics")
+
+
+@query
+def stream_late_windows_rerun(spark, sf_dir):
+    """Every fortieth event comes in last. Windows it is too late for are run again from
+    all rows and replaced."""
+    part = (
+        F.when(F.col("event_id") % 40 == 0, 2)
+        .when(F.col("ts") < F.lit(datetime(2024, 1, 16)), 0)
+        .otherwise(1)
+    )
+    arriving = I.arrivals(_files_in_turn(spark, sf_dir, part, 3))
+    gold, late, marks, state = (shared_folder(spark, n) for n in ("gold", "late", "marks", "state"))
+    replace = window_replacer(gold, ("window_end_ymdhm",))
+    both = late_rows.with_rows(metrics_stream(arriving), timed_stream(arriving))
+    for_each_batch(both, late_rows.splitting(replace, late, marks), state).awaitTermination()
+
+    missed = read_table(spark, late)
+    rows = metrics.with_event_time(_arrivals(spark, sf_dir))
+    again = late_rows.rerun_windows(rows, missed)
+    replace(again, -1)
+    counts = metrics.sliding_metrics(missed).groupBy("window_end_ymdhm").agg(F.sum("n").alias("late_rows"))
+    stored = read_table(spark, gold, schema=again.schema)
+    return stored.join(counts, "window_end_ymdhm")
+
+
+@query
+def stream_latest_versions(spark, sf_dir):
+    """Versions of each user's row, out of order within and between files; the highest is
+    emitted when the user has been quiet for an hour."""
+    jitter = F.expr("interval 1 hour") * (F.col("event_id") % 7)
+    part = F.floor((F.dayofmonth(F.col("ts") + jitter) - 1 + 31 * (F.month(F.col("ts") + jitter) - 1)) / 8)
+    versions = _files_in_turn(spark, sf_dir, part, 4).select(
+        "user_id", (F.col("event_id") % 97).alias("version"), "event_id", F.col("ts").cast("timestamp").alias("t")
+    )
+    latest = latest_stream(versions, ["user_id"], ["version", "event_id"], time="t", delay="8 hours")
+    return _finished(spark, latest, "latest")

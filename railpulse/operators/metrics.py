@@ -25,6 +25,7 @@ from railpulse.operators.percentiles import (
     count_values,
     mean_from_counts,
     percentile_from_counts,
+    percentile_of_histogram,
     share_of_rows,
     with_running_counts,
 )
@@ -69,6 +70,16 @@ def metrics_in_one_pass(
     )
 
 
+def pane_counts(timed: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Rows per (keys, wait), of which one is the pane, and whether a last train is seen."""
+    return count_values(
+        timed.where(F.col("event_ts").isNotNull()),
+        keys,
+        WAIT,
+        F.bool_or("is_last_train").alias(_LAST),
+    )
+
+
 def sliding_metrics(
     timed: DataFrame,
     *,
@@ -85,15 +96,8 @@ def sliding_metrics(
     slide, and only pane counts are repeated for the windows over them. A window
     then holds a value once per pane at most, which the running count allows for.
     """
-    pane = math.gcd(minutes, slide)
-    panes = count_values(
-        timed.where(F.col("event_ts").isNotNull()).withColumn(
-            "_pane", floor_time(F.col("event_ts"), pane)
-        ),
-        ["_pane", *keys],
-        WAIT,
-        F.bool_or("is_last_train").alias(_LAST),
-    )
+    pane = floor_time(F.col("event_ts"), math.gcd(minutes, slide))
+    panes = pane_counts(timed, [pane.alias("_pane"), *keys])
     windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes")
     counts = panes.withColumn("_window", windows).withColumn("_end", F.col("_window.end"))
     metrics = _from_counts(counts, ["_end", *keys], long_wait_sec, percentile)
@@ -103,14 +107,51 @@ def sliding_metrics(
     )
 
 
+def metrics_of_histograms(
+    panes: DataFrame,
+    *,
+    minutes: int = S.WINDOW_MINUTES,
+    slide: int = S.SLIDE_MINUTES,
+    keys: Sequence[str] = S.METRIC_KEYS,
+    min_n: int = S.MIN_SAMPLES,
+    long_wait_sec: int = S.VERY_LONG_WAIT_SEC,
+    percentile: float = S.METRIC_PERCENTILE,
+) -> DataFrame:
+    """The same metrics from :func:`pane_counts` whose pane is a window column, by one more
+    aggregation and no running count, so that a stream can do it.
+
+    A window gathers the (second, rows) of its panes, at most one per pane and distinct
+    second, and reads the percentile off them in order.
+    """
+    windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes").alias("window")
+    known = F.when(F.col(WAIT).isNotNull(), F.struct(WAIT, ROWS))
+    metrics = panes.groupBy(windows, *keys).agg(
+        F.sum(ROWS).alias("n"),
+        mean_from_counts(WAIT).alias("avg_eta_sec"),
+        percentile_of_histogram(F.collect_list(known), WAIT, percentile).alias("p90_eta_sec"),
+        share_of_rows(F.when(F.col(WAIT) >= long_wait_sec, F.col(ROWS)).otherwise(0)).alias(
+            "long_ratio_10m"
+        ),
+        any_true(F.col(_LAST)).alias("last_train_seen"),
+    )
+    return _with_window_columns(
+        metrics, F.col("window.start"), F.col("window.end"), keys, minutes, min_n
+    )
+
+
+def windows_over(panes: DataFrame, minutes: int, slide: int) -> DataFrame:
+    """``window_end_ts`` of every window over the panes that start at ``_pane``."""
+    windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes")
+    return panes.select(windows.alias("_w")).select(F.col("_w.end").alias("window_end_ts"))
+
+
 def window_ends(
     timed: DataFrame, *, minutes: int = S.WINDOW_MINUTES, slide: int = S.SLIDE_MINUTES
 ) -> DataFrame:
     """``window_end_ts`` of every window that holds an event, from distinct panes alone."""
     pane = floor_time(F.col("event_ts"), math.gcd(minutes, slide))
     panes = timed.where(F.col("event_ts").isNotNull()).select(pane.alias("_pane")).distinct()
-    windows = F.window("_pane", f"{minutes} minutes", f"{slide} minutes")
-    return panes.select(windows.alias("_w")).select(F.col("_w.end").alias("window_end_ts")).distinct()
+    return windows_over(panes, minutes, slide).distinct()
 
 
 def window_metrics(

@@ -49,6 +49,29 @@ def percentile_from_counts(value: str, share: float) -> Column:
     return F.min(F.when(reached, F.col(value))).cast("bigint")
 
 
+def percentile_of_histogram(histogram: Column, value: str, share: float) -> Column:
+    """The same percentile from an array of (value, rows) structs, in which a value may come
+    more than once; null without any."""
+    exact = Fraction(str(share))
+    total = F.aggregate(histogram, F.lit(0).cast("bigint"), lambda s, x: s + x[ROWS])
+
+    def step(state: Column, x: Column) -> Column:
+        up_to = state["up_to"] + x[ROWS]
+        reached = state["found"].isNull() & (up_to * exact.denominator >= state["goal"])
+        return F.struct(
+            up_to.alias("up_to"),
+            state["goal"].alias("goal"),
+            F.when(reached, x[value].cast("bigint")).otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(
+        F.lit(0).cast("bigint").alias("up_to"),
+        (total * exact.numerator).alias("goal"),
+        F.lit(None).cast("bigint").alias("found"),
+    )
+    return F.aggregate(F.array_sort(histogram), start, step, lambda s: s["found"])
+
+
 def mean_from_counts(value: str, rows: str = ROWS) -> Column:
     """Aggregate: mean over rows with a known value, null without any."""
     known = F.when(F.col(value).isNotNull(), F.col(rows))

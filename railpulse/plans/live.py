@@ -36,7 +36,8 @@ def watch_arrivals(
     **thresholds,
 ) -> StreamingQuery:
     """Follow bronze arrivals, replace the metrics of each closed window and deliver
-    its alert. With ``every=None`` the run takes what is there and ends."""
+    its alert, once even over restarts. With ``every=None`` the run takes what is there and
+    ends."""
     bronze = file_stream(
         spark,
         lake.bronze_arrivals,
@@ -47,6 +48,10 @@ def watch_arrivals(
     metrics = metrics_stream(silver_arrivals(bronze), delay=delay, time_columns=("event_time",))
     writer = in_turn(
         window_replacer(lake.arrival_metrics),
-        alerting(lambda batch: delay_alerts(batch, **thresholds), deliver),
+        alerting(
+            lambda batch: delay_alerts(batch, **thresholds),
+            deliver,
+            ledger=f"{checkpoint}-delivered",
+        ),
     )
     return for_each_batch(metrics, writer, checkpoint, every=every)

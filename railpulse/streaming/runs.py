@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from railpulse import settings as S
@@ -78,13 +79,15 @@ def window_replacer(
 def in_turn(*writers: BatchWriter) -> BatchWriter:
     """A batch writer that hands each batch to several.
 
-    The batch is kept meanwhile; otherwise each writer would run the stream's
-    stateful operators again.
+    The batch is computed once, whole, and kept meanwhile: each writer would otherwise run
+    the stream's stateful operators again, and a writer that reads no row of a replayed
+    batch would leave the state of that batch uncommitted.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            kept.count()
             for writer in writers:
                 writer(kept, batch_id)
         finally:
@@ -93,12 +96,66 @@ def in_turn(*writers: BatchWriter) -> BatchWriter:
     return write
 
 
+def replace_folder(rows: DataFrame, path: str) -> None:
+    """Rows as the whole content of a folder; no folder of files without rows."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+class Ledger:
+    """Which batches have been delivered, over restarts: a folder for each under ``root``,
+    with the rows that were delivered.
+
+    A batch's rows are written before they are delivered, and its entry is closed after.
+    A replay of a closed batch delivers nothing. A crash between the two leaves the entry
+    open: the replay then delivers the rows first written, under the same ``delivery_id``,
+    so that a receiver can tell a repeat.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root
+
+    def _path(self, batch_id: int, part: str) -> str:
+        return f"{self._root}/batch={batch_id}/{part}"
+
+    def _written(self, batch_id: int, part: str) -> bool:
+        jvm, conf = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self._path(batch_id, part)}/_SUCCESS")
+        return path.getFileSystem(conf).exists(path)
+
+    def deliver(self, rows: DataFrame, batch_id: int, send: Callable[[DataFrame], None]) -> bool:
+        """Send the rows, if any, unless the batch is closed; whether they were sent."""
+        if self._written(batch_id, "closed"):
+            return False
+        if not self._written(batch_id, "rows"):
+            replace_folder(
+                rows.withColumn("delivery_id", F.lit(f"{self._root.rsplit('/', 1)[-1]}:{batch_id}")),
+                self._path(batch_id, "rows"),
+            )
+        kept = self._spark.read.parquet(self._path(batch_id, "rows"))
+        some = not kept.isEmpty()
+        if some:
+            send(kept)
+        replace_folder(self._spark.range(1), self._path(batch_id, "closed"))
+        return some
+
+
 def alerting(
-    judge: Callable[[DataFrame], DataFrame], deliver: Callable[[DataFrame], None]
+    judge: Callable[[DataFrame], DataFrame],
+    deliver: Callable[[DataFrame], None],
+    *,
+    ledger: str | None = None,
 ) -> BatchWriter:
-    """A batch writer that hands the alert rows of a batch, if any, to ``deliver``."""
+    """A batch writer that hands the alert rows of a batch, if any, to ``deliver``.
+
+    With a ``ledger`` folder a batch that is run again after a crash is not delivered
+    again; see :class:`Ledger`. Keep it beside the stream's checkpoint: batch ids are the
+    checkpoint's.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if ledger is not None:
+            Ledger(batch.sparkSession, ledger).deliver(judge(batch), batch_id, deliver)
+            return
         alerts = judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not alerts.isEmpty():

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,8 @@ from railpulse.sinks import messages as Ms
 from railpulse import settings as S
 from railpulse.sources import envelopes, topics
 from railpulse.sources.tables import read_table
-from railpulse.streaming import events, runs
-from railpulse.streaming.arrivals import distinct_stream, metrics_stream
+from railpulse.streaming import events, late, runs
+from railpulse.streaming.arrivals import distinct_stream, latest_stream, metrics_stream, timed_stream
 from tests.helpers import ARRIVAL_SCHEMA, arrivals, at, plan_of, rows
 
 KEYS = ("window_end_ymdhm", "station_name", "n", "p90_eta_sec")
@@ -57,6 +58,94 @@ def test_late_rows(spark, folder):
     assert rows(ten_fifteen, "n", "p90_eta_sec") == [(3, 7)]
 
 
+def test_exact_percentiles_over_files_with_eviction(spark, folder):
+    rng = random.Random(5)
+    wait = lambda: rng.choice([None, 0, 3, rng.randrange(1200), -5])
+    batches = [
+        arrivals(spark, *(
+            {**event(f"1{h}:{rng.randrange(60):02d}:00", wait(), rng.choice("AB")), "is_last_train": rng.choice([None, True, False])}
+            for _ in range(150)
+        )) for h in range(4)
+    ]
+    args = {"percentile": 0.9, "long_wait_sec": 600}
+    stream = metrics_stream(arriving(spark, folder, *batches), delay="61 minutes", **args)
+    query = runs.write_files(stream, folder("out"), folder("state"))
+    query.awaitTermination()
+    whole = batches[0].unionAll(batches[1]).unionAll(batches[2]).unionAll(batches[3])
+    batch = metrics.sliding_metrics(metrics.with_event_time(whole), **args)
+    end = whole.agg(F.max("event_time")).first()[0]
+    closed = batch.where(F.col("window_end_ts") <= F.lit(end) - F.expr("interval 61 minutes"))
+    names = ["window_end_ymdhm", "station_name", "n", "p90_eta_sec", "long_ratio_10m", "last_train_seen"]
+    out = read_table(spark, folder("out"))
+    means = [F.round("avg_eta_sec", 9).alias("mean")]
+    assert rows(out.select(*names, *means)) == rows(closed.select(*names, *means)) and not out.isEmpty()
+    removed = sum(op.numRowsRemoved for p in query.recentProgress for op in p.stateOperators)
+    assert removed > 0 and not any(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def test_late_rows_are_kept_and_their_windows_run_again(spark, folder):
+    batches = [
+        arrivals(spark, event("10:01:00"), event("10:14:00")),
+        arrivals(spark, event("10:05:30", 7), event("11:00:00")),  # late within the delay
+        arrivals(spark, event("10:51:00", 2), event("12:00:00")),
+        arrivals(spark, event("10:02:00", 9), event("10:03:00", 99, "B"), event("11:51:00", 1), event("13:00:00")),
+    ]
+    source = arriving(spark, folder, *batches)
+    both = late.with_rows(metrics_stream(source), timed_stream(source))
+    replace = runs.window_replacer(folder("gold"))
+    write = late.splitting(replace, folder("late"), folder("marks"))
+    query = runs.for_each_batch(both, write, folder("state"))
+    query.awaitTermination()
+    missed = late.late_rows(spark, folder("late"), ARRIVAL_SCHEMA)
+    assert rows(missed, "event_time", "missed_watermark") == [
+        (at("2024-01-01 10:02:00"), at("2024-01-01 11:50:00")),
+        (at("2024-01-01 10:03:00"), at("2024-01-01 11:50:00")),
+    ]
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == missed.count()
+    whole = batches[0].unionAll(batches[1]).unionAll(batches[2]).unionAll(batches[3])
+    timed = metrics.with_event_time(whole)
+    again = late.rerun_windows(timed, missed)
+    batch = metrics.sliding_metrics(timed)
+    wanted = ["202401011005", "202401011010", "202401011015"]
+    assert rows(again) == rows(batch.where(F.col("window_end_ymdhm").isin(wanted)).select(*again.columns))
+    replace(again, -1)
+    closed = batch.where(F.col("window_end_ts") <= F.lit(at("2024-01-01 12:50:00")))
+    assert rows(read_table(spark, folder("gold"), schema=batch.schema), *KEYS) == rows(closed, *KEYS)
+
+
+def test_a_batch_run_again_replaces_its_late_rows(spark, folder):
+    timed = metrics.with_event_time(arrivals(spark, event("10:01:00"), event("12:00:00")))
+    results = metrics.sliding_metrics(timed)
+    write = late.splitting(lambda batch, number: None, folder("late"), folder("marks"))
+    write(late.with_rows(results, timed), 0)
+    for _ in range(2):
+        write(late.with_rows(results, timed), 1)
+    missed = late.late_rows(spark, folder("late"), ARRIVAL_SCHEMA)
+    assert rows(missed, "event_time", "batch") == [(at("2024-01-01 10:01:00"), 1)]
+    assert late.late_rows(spark, folder("none"), ARRIVAL_SCHEMA).isEmpty()
+    assert late.rerun_windows(timed, missed.where("false")).isEmpty()
+
+
+def test_latest_versions(spark, folder):
+    schema = "id string, version int, t timestamp, note string"
+    make = lambda *given: spark.createDataFrame([(i, v, at(f"2024-01-01 {t}"), n) for i, v, t, n in given], schema)
+    for batch in (
+        make(("a", 2, "10:00:00", "x"), ("b", 1, "10:05:00", "x"), ("c", None, "10:00:00", "z")),
+        make(("a", 1, "10:01:00", "older"), ("b", 3, "10:06:00", "x"), ("b", 3, "10:04:00", "y"), (None, 1, "10:07:00", "n")),
+        make(("c", 0, "10:09:00", "y"), ("d", 1, "10:59:00", "open")),
+        make(("a", 5, "11:05:00", "anew"), ("d", 2, "11:40:00", "open")),
+        make(("e", 1, "13:00:00", "open")),
+    ):
+        batch.coalesce(1).write.mode("append").parquet(folder("in"))
+    stream = topics.file_stream(spark, folder("in"), schema, files_per_trigger=1)
+    latest = latest_stream(stream, ["id"], ["version"], time="t", quiet="50 minutes")
+    out = finished(spark, latest, folder)
+    assert rows(out, "id", "version", "note") == rows(make(
+        ("a", 2, "10:00:00", "x"), ("a", 5, "10:00:00", "anew"), ("b", 3, "10:00:00", "x"), ("c", 0, "10:00:00", "y"),
+        ("d", 2, "10:00:00", "open"), (None, 1, "10:00:00", "n")), "id", "version", "note")
+
+
 def test_repeats_are_dropped(spark, folder):
     stream = arriving(spark, folder, arrivals(spark, event("10:00:00", 1), event("10:00:00", 2)),
                       arrivals(spark, event("10:01:00", 3), event("10:02:00", 4, "B")))
@@ -88,6 +177,47 @@ def test_alerts_from_a_stream(spark, folder):
     assert sorted(a.total_n for a in delivered) == [250, 250, 251]
 
 
+def test_a_replayed_batch_is_not_delivered_twice(spark, folder):
+    stream = lambda: metrics_stream(topics.file_stream(spark, folder("in"), ARRIVAL_SCHEMA, files_per_trigger=1))
+    arriving(
+        spark, folder,
+        arrivals(spark, *(event("10:00:30", 700) for _ in range(250)), event("10:10:30", 1)),
+        arrivals(spark, event("12:00:00")),
+    )
+    delivered = []
+    alert = runs.alerting(alerts.delay_alerts, lambda found: delivered.extend(found.collect()), ledger=folder("ledger"))
+
+    def crash_after(batch, number):
+        alert(batch, number)
+        if delivered:
+            raise ValueError("the run dies before the stream notes the batch")
+
+    with pytest.raises(Exception, match="dies"):
+        runs.for_each_batch(stream(), crash_after, folder("state")).awaitTermination()
+    first = list(delivered)
+    assert sorted(a.total_n for a in first) == [250, 250, 251]
+    runs.for_each_batch(stream(), alert, folder("state")).awaitTermination()
+    assert delivered == first  # the batch was run again
+    assert len({a.delivery_id for a in first}) == 1
+
+
+def test_a_crash_during_delivery_sends_the_same_rows_again(spark, folder):
+    ledger, sent = runs.Ledger(spark, folder("ledger")), []
+
+    def send(found):
+        sent.append(rows(found))
+        if len(sent) == 1:
+            raise ValueError("half way")
+
+    first = spark.createDataFrame([(1, "a")], "n int, s string")
+    with pytest.raises(ValueError):
+        ledger.deliver(first, 7, send)
+    assert ledger.deliver(spark.createDataFrame([(2, "b")], "n int, s string"), 7, send)
+    assert sent == [[(1, "a", "ledger:7")]] * 2
+    assert not ledger.deliver(first, 7, send) and len(sent) == 2
+    assert not ledger.deliver(first.where("false"), 8, send) and len(sent) == 2
+
+
 def test_pipeline_events(spark, folder):
     days = spark.createDataFrame([("20240101",), ("20240102",)], "target_ymd string")
     sent = Ms.ready_messages(
