@@ -30,6 +30,9 @@ BATCH_ROWS = 1000
 #: Vocabulary of the token shards, a file of the installed public tokenizers.
 TOKENIZER = "word_bpe_49k.json"
 
+#: Most ids that are sent to every task, 8 bytes each, so that texts need not be shuffled.
+SENT_IDS = 1 << 20
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -174,8 +177,9 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
         .where("quality = 1")
         .select(F.col("doc_id").alias("_good"))
         .distinct()
-        .hint("merge")  # labels grow with the documents
     )
+    if good.count() <= SENT_IDS:  # else a join that deals out both sides
+        good = F.broadcast(good)
     marked = docs.join(good, F.col("doc_id") == F.col("_good"), "left")
     return word_cross_entropy_difference(marked, F.col("_good").isNotNull())
 

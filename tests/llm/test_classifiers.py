@@ -1,12 +1,14 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from railpulse.llm import quality, toxicity
-from railpulse.llm.lmscore import cross_entropy_difference, losses, word_cross_entropy_difference
+from railpulse.llm.lmscore import word_cross_entropy_difference
 from railpulse.llm.queries import REGISTRY
 
 SF = "/root/testdata/sf0.01"
@@ -100,62 +102,58 @@ def test_views_teach_each_other():
     assert wrong[1] <= wrong[0] and wrong[1] < 12
 
 
-def trigram_losses(texts):
-    """Loss of the third byte of each trigram, by dictionaries."""
-    tri = [tuple(b"\0\0" + t.encode())[i : i + 3] for t in texts for i in range(len(t.encode()))]
-
-    def loss(g):
-        one = (sum(x[2] == g[2] for x in tri) + 1) / (len(tri) + 256)
-        two = (sum(x[1:] == g[1:] for x in tri) + 8 * one) / (sum(x[1] == g[1] for x in tri) + 8)
-        return -np.log((sum(x == g for x in tri) + 8 * two) / (sum(x[:2] == g[:2] for x in tri) + 8))
-
-    return loss
-
-
-def test_cross_entropy_difference(spark, documents):
-    texts = ["the cat sat", "the dog sat on the cat", "zzz qqq", "é the", "", None]
-    docs = documents(list(enumerate(texts)))
-    got = {r.doc_id: r for r in cross_entropy_difference(docs, F.col("doc_id") < 2).collect()}
-    target, background = trigram_losses(texts[:2]), trigram_losses([t for t in texts if t])
-    for i, t in enumerate(texts):
-        raw = tuple(b"\0\0" + (t or "").encode())
-        grams = [raw[j : j + 3] for j in range(len(raw) - 2)]
-        want = sum(target(g) - background(g) for g in grams) / max(1, len(grams))
-        assert got[i].score == pytest.approx(want, abs=1e-5) and got[i].n_tokens == len(grams)
-
-
 def test_language_model_rows(spark, documents, labels):
     docs = documents([(1, None), (2, "x"), (2, "x"), (None, "abc"), (5, "long " * 300_000)])
-    assert cross_entropy_difference(docs, F.col("doc_id") == 2).count() == 5
-    assert cross_entropy_difference(docs, F.lit(None).cast("boolean")).count() == 5
-    assert cross_entropy_difference(docs.limit(0), F.lit(True)).count() == 0
-    assert losses(np.array([0x61]), np.array([1])).shape == (1,)
+    for frequent in (2, 1024):
+        got = word_cross_entropy_difference(docs, F.col("doc_id") == 2, frequent=frequent)
+        assert sorted((r.doc_id or 0, r.n_tokens) for r in got.collect()) == [(0, 1), (1, 0), (2, 1), (2, 1), (5, 300_000)]
+        assert got.where("score is null or isnan(score)").isEmpty()
     rows = REGISTRY["op10_cross_entropy_difference"](spark, SF).collect()
     mean = {q: np.mean([r.score for r in rows if r.doc_id in labels and labels[r.doc_id].quality == q]) for q in (0, 1)}
     assert len(rows) == 1000 and mean[1] < mean[0]
 
 
-def test_word_order_and_counts_of_all_words(spark, documents):
-    texts = ["The cat  sat", "the dog sat on the cat", "cat the sat", "zzz qqq zzz qqq", "é the", "", None, "the cat sat"]
-    docs = documents(list(enumerate(texts)))
-    got = {r.doc_id: r for r in word_cross_entropy_difference(docs, F.col("doc_id") < 2).collect()}
+def bigram_scores(texts, is_target):
+    """Score and words of each text, from lists of all pairs."""
     pairs = [[*zip(["", *w], w, strict=False)] for w in ((t or "").lower().split() for t in texts)]
-    words = {w for p in pairs for _, w in p}
-
-    def loss(p, seen):
-        one = (sum(w == p[1] for _, w in seen) + 1) / (len(seen) + len(words))
-        return -np.log((seen.count(p) + 8 * one) / (sum(b == p[0] for b, _ in seen) + 8))
-
-    target, background = pairs[0] + pairs[1], [p for ps in pairs for p in ps]
-    for i, ps in enumerate(pairs):
-        want = sum(loss(p, target) - loss(p, background) for p in ps) / max(1, len(ps))
-        assert got[i].score == pytest.approx(want, abs=1e-9) and got[i].n_tokens == len(ps)
+    every = [p for ps in pairs for p in ps]
+    words = {w for _, w in every}
+
+    def model(seen):
+        pair, one, before = Counter(seen), Counter(w for _, w in seen), Counter(b for b, _ in seen)
+        alone = lambda w: (one[w] + 1) / (len(seen) + len(words))
+        return lambda p: -np.log((pair[p] + 8 * alone(p[1])) / (before[p[0]] + 8))
+
+    target = model([p for ps, t in zip(pairs, is_target, strict=True) if t for p in ps])
+    background = model(every)
+    return [(sum(target(p) - background(p) for p in ps) / max(1, len(ps)), len(ps)) for ps in pairs]
+
+
+@pytest.mark.parametrize(
+    "options", [{}, {"frequent": 1}, {"frequent": 6, "slice_words": 50}, {"frequent": 40, "slice_words": 7}]
+)
+def test_word_order_and_counts_of_all_words(spark, documents, options):
+    rng = random.Random(7)
+    texts = ["The cat  sat", "the dog sat on the cat", "cat the sat", "zzz qqq zzz qqq", "é the", "", None, "the cat sat", "the " * 70_000]
+    texts += [" ".join(rng.choice(["the", "of", *(f"w{rng.randrange(200)}" for _ in range(4))]) for _ in range(rng.randrange(60))) for _ in range(80)]
+    docs = documents(list(enumerate(texts))).repartition(5)
+    is_target = [i < 2 or i % 3 == 0 for i in range(len(texts))]
+    flag = (F.col("doc_id") < 2) | (F.col("doc_id") % 3 == 0)
+    got = {r.doc_id: r for r in word_cross_entropy_difference(docs, flag, **options).collect()}
+    assert len(got) == len(texts)
+    for i, (score, n) in enumerate(bigram_scores(texts, is_target)):
+        assert got[i].score == pytest.approx(score, abs=1e-9) and got[i].n_tokens == n
     assert got[0].score != got[2].score  # the same words in another order
-    assert word_cross_entropy_difference(docs, F.lit(None).cast("boolean")).count() == len(texts)
-    assert word_cross_entropy_difference(docs.limit(0), F.lit(True)).count() == 0
+    assert word_cross_entropy_difference(docs, F.lit(None).cast("boolean"), **options).count() == len(texts)
+    assert word_cross_entropy_difference(docs.limit(0), F.lit(True), **options).count() == 0
 
 
 def test_language_model_query_counts_words(spark):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    rows = REGISTRY["op10_cross_entropy_difference"](spark, SF).collect()
-    assert {r.doc_id: r.n_tokens for r in rows} == {i: len((t or "").encode().split()) for i, t in texts.items()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    got = {r.doc_id: r for r in REGISTRY["op10_cross_entropy_difference"](spark, SF).collect()}
+    # Bytes of all texts as characters, so that both sides cut and lower-case ASCII alone.
+    texts = [re.sub("[\x1c-\x1f\x85\xa0]", "q", re.sub("[\xc0-\xde]", "z", (d.text or "").encode().decode("latin1"))) for d in docs]
+    for d, (score, n) in zip(docs, bigram_scores(texts, [d.doc_id in good for d in docs]), strict=True):
+        assert got[d.doc_id].n_tokens == n == len((d.text or "").encode().split())
+        assert got[d.doc_id].score == pytest.approx(score, abs=0.02)
