@@ -17,8 +17,8 @@ from railpulse.sinks.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Near copies link by any of this many independent fingerprints, at this many bits.
-FAMILIES, BITS_APART = 3, 5
+#: Words of a shingle, and bits in which fingerprints of near copies may differ.
+SHINGLE_WORDS, BITS_APART = 4, 4
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
     importable(spark)
-    return deduplicated(docs, families=FAMILIES, threshold=BITS_APART)
+    return deduplicated(docs, shingle=SHINGLE_WORDS, threshold=BITS_APART)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
