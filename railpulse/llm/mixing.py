@@ -16,7 +16,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railpulse.llm.words import WORD
+from railpulse.llm.words import WORD, free_name
 from railpulse.sinks.tables import stored
 
 WEIGHTS = (5, 2, 1)
@@ -182,16 +182,23 @@ def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, *, source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The documents the mix takes, each as often as it is taken, with their own columns."""
-    kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    sized = kept.select("__row", F.col(source).alias("source"), word_count(text).alias("size"))
+    """The documents the mix takes, each as often as it is taken, with their own columns.
+
+    Rows without a source are a source of their own; null and empty texts have size 0 and
+    repeated rows are each placed for themselves. An empty table gives no rows.
+    """
+    row, many, copy = (free_name(n, docs) for n in ("row", "many", "copy"))
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    sized = kept.select(
+        F.col(row).alias("own_row"), F.col(source).alias("source"), word_count(text).alias("size")
+    )
     taken = (
-        mix(sized, tie="__row", **options)
+        mix(sized, tie="own_row", **options)
         .where("copies > 0")
-        .select("__row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("__copies"))
+        .select(F.col("own_row").alias(row), F.sequence(F.lit(1), F.col("copies").cast("int")).alias(many))
     )
     return (
-        kept.join(taken, "__row")
-        .withColumn("__copy", F.explode("__copies"))
+        kept.join(taken, row)
+        .withColumn(copy, F.explode(many))
         .select(*(F.col(f"`{c}`") for c in docs.columns))
     )

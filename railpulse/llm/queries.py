@@ -158,9 +158,9 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, and whether it would be kept."""
-    docs = table(spark, sf_dir, "documents")
-    views = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, views).select(
+    features = quality.featured(table(spark, sf_dir, "documents"))
+    views = quality.train(features, table(spark, sf_dir, "labels"))
+    return quality.scored(features, views).select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
         "score",

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railpulse.llm.graph import components
-from railpulse.llm.words import as_bytes, word_blocks
+from railpulse.llm.words import as_bytes, free_name, word_blocks
 from railpulse.sinks.tables import stored
 
 BITS = 64
@@ -316,10 +316,15 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """One row of each near-duplicate group, with its own columns."""
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    groups = near_duplicates(rows, doc_id="__row", **options)
+    """One row of each near-duplicate group of :func:`near_duplicates`, with its columns.
+
+    Rows are grouped each for itself, so of repeated rows one stays, whatever their ids;
+    null and empty texts are one group. An empty table gives no rows.
+    """
+    own = free_name("row", docs)
+    rows = stored(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, doc_id=own, **options)
     first = groups.where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("__row")
+        F.col("doc_id").alias(own)
     )
-    return rows.join(first, "__row", "left_semi").drop("__row")
+    return rows.join(first, own, "left_semi").select(*docs.columns)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railpulse.llm.words import free_name
+
 #: Hashed features.
 BUCKETS = 1 << 18
 #: Labelled rows of each class that a fit reads at most, chosen by hash of their id.
@@ -269,7 +271,10 @@ def scored(
 def without_toxic(
     docs: DataFrame, model: Model, *, text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows that score below the threshold, with their own columns."""
-    return scored(docs, model, text=text, name="__score").where(
-        F.col("__score") < threshold
-    ).drop("__score")
+    """The rows that score below the threshold, with their own columns.
+
+    Null and empty texts score by the bias, so all of them stay or none; repeated rows stay
+    repeated. An empty table gives no rows.
+    """
+    own = free_name("score", docs)
+    return scored(docs, model, text=text, name=own).where(F.col(own) < threshold).drop(own)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: A word, wherever an operator counts words: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,3 +56,9 @@ def term_blocks(text: bytes | None) -> Iterator[list[bytes]]:
     letters and digits taken for a space."""
     if text:
         yield from word_blocks(text.translate(_TERM_BYTES))
+
+
+def free_name(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, in any case of letters."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    return next(n for i in count() if (n := f"{stem}{i}") not in taken)

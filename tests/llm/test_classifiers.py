@@ -71,12 +71,15 @@ def test_odd_rows_of_classifiers(spark, documents):
     assert rows.count() == 5 and rows.columns[-1] == "score"
     assert toxicity.without_toxic(docs, model).columns == docs.columns
     assert toxicity.scored(docs.limit(0), model).count() == 0
-    views = quality.train(docs, marks)
-    assert quality.scored(docs, views).count() == 5
-    assert quality.scored(docs.select("doc_id", "text"), views).count() == 5
+    for given in (docs, docs.select("doc_id", "text"), docs.drop("source")):
+        features = quality.featured(given)
+        views = quality.train(features, marks)
+        assert sorted(r.doc_id or 0 for r in quality.scored(features, views).collect()) == [0, 1, 2, 2, 4]
     none = toxicity.train(docs.limit(0), marks.limit(0))
     assert toxicity.scored(docs, none).where("score < 0.5").count() == 5
-    assert quality.scored(docs, quality.train(docs.limit(0), marks.limit(0))).count() == 5
+    nothing = quality.train(quality.featured(docs.limit(0)), marks.limit(0))
+    assert quality.scored(quality.featured(docs), nothing).count() == 5
+    assert quality.scored(quality.featured(docs.limit(0)), views).count() == 0
 
 
 def test_quality_held_out(spark, labels):
@@ -86,7 +89,7 @@ def test_quality_held_out(spark, labels):
     assert sum(k == bool(q) for k, q in out) >= 0.95 * len(out)
 
 
-def test_views_teach_each_other():
+def test_views_teach_each_other(spark):
     rng = random.Random(2)
     texts, pages, y = [], [], []
     for i in range(600):  # the two views agree with the label; few rows are labelled
@@ -94,14 +97,63 @@ def test_views_teach_each_other():
         texts.append(np.array(sorted(rng.sample(range(100, 200) if good else range(150, 250), 12)), np.int32))
         pages.append(np.array([1000 + good, 1010 + rng.randrange(5)], np.int32))
         y.append(int(good))
-    known = [v if i < 60 else None for i, v in enumerate(y)]
+    rows = [(t.tolist(), p.tolist()) for t, p in zip(texts[60:], pages[60:], strict=True)]
+    opened = spark.createDataFrame(rows, "text array<int>, page array<int>")
+    kept = [i % 5 == 0 for i in range(60)]
     wrong = []
     for rounds in (0, 4):
-        views = quality.co_train(texts, pages, known, rounds=rounds)
+        views = quality.co_train(texts[:60], pages[:60], y[:60], kept, opened, rounds=rounds)
         wrong.append(sum((views.score(t, p) > 0.5) != v for t, p, v in zip(texts, pages, y, strict=True)))
+        assert min(views.weights[:2]) >= 0
     assert wrong[1] <= wrong[0] and wrong[1] < 12
 
 
+def test_rounds_against_plain_lists(spark):
+    """Every unlabelled row takes part: the counts of a round equal those of a plain loop."""
+    rng = random.Random(3)
+    rows = [([rng.randrange(40) for _ in range(6)], [50 + rng.randrange(6)]) for _ in range(500)]
+    rows = [(sorted(set(t)), p) for t, p in rows]
+    weights = tuple(np.array([rng.gauss(0, 1.5) if i < 60 else 0.0 for i in range(quality.BUCKETS)]) for _ in range(2))
+    turn = quality.Round(weights)
+    past = quality.Round(weights, ((-500, 500), (-900, 900)))
+    opened = spark.createDataFrame(rows, "text array<int>, page array<int>").repartition(5)
+    level = lambda view, r: int(np.floor(np.clip(sum(weights[view][i] for i in r[view]), -40, 40) * 100))
+    left = [r for r in rows if -500 < level(0, r) < 500 and -900 < level(1, r) < 900]
+    levels = quality._count_levels(opened, [past], turn)
+    assert levels == [dict(Counter(level(view, r) for r in left)) for view in (0, 1)]
+    turn.cuts = tuple(quality._cuts(levels[view], 25, 0.6) for view in (0, 1))
+    found = quality._count_features(opened, [past], turn)
+    for view in (0, 1):
+        want, n = Counter(), Counter()
+        low, high = turn.cuts[1 - view]
+        for r in left:
+            z = level(1 - view, r)
+            if z <= low or z >= high:
+                n[int(z >= high)] += 1
+                want.update((i, int(z >= high)) for i in r[view])
+        assert found[view].rows.tolist() == [n[0], n[1]] and sum(n.values()) > 20
+        assert {(int(i), int(y)): int(found[view].seen[i, y]) for i, y in zip(*np.nonzero(found[view].seen), strict=True)} == want
+        assert sum(c for z, c in levels[1 - view].items() if z >= high) <= 25 or high == max(levels[1 - view])
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    docs, marks = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    results = []
+    for n in (1, 5, 16):
+        features = quality.featured(docs.repartition(n))
+        views = quality.train(features, marks.repartition(n))
+        results.append(sorted((r.doc_id, r.score) for r in quality.scored(features, views).collect()))
+    assert results[0] == results[1] == results[2]
+
+
+def test_a_view_turned_round_has_no_weight():
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 200).astype(float)
+    odds = np.column_stack([2 * y - 1 + rng.normal(0, 1, 200), -(2 * y - 1) + rng.normal(0, 1, 200)])
+    a, b, _ = quality._calibrated(odds, y)
+    assert a > 0 and b == 0
+
+
 def test_language_model_rows(spark, documents, labels):
     docs = documents([(1, None), (2, "x"), (2, "x"), (None, "abc"), (5, "long " * 300_000)])
     for frequent in (2, 1024):
