@@ -568,6 +568,22 @@ FROM events""",
         BRONZE_USAGE,
         """
 SELECT 'INFO-200 no data' AS reason, count(*) AS pages FROM bronze WHERE GTON_TNOPE IS NULL""",
+    ),
+    "sketched_windows_and_days": _with(
+        ARRIVALS
+        + """,
+spans AS (
+  SELECT 'day' AS kind, date_trunc('day', event_time) + INTERVAL 1 DAY AS ending, * FROM arr
+  UNION ALL
+  SELECT 'window', to_timestamp((CAST(floor(epoch(event_time) / 28800) AS BIGINT) + i) * 28800) AT TIME ZONE 'UTC', arr.*
+  FROM arr, range(1, 4) AS t(i)
+)""",
+        """
+SELECT kind, CAST(ending AS TIMESTAMP) AS ending, line_id, count(*) AS n, count(arrival_seconds) AS known_rows,
+       round(avg(arrival_seconds), 6) AS avg_eta_sec,
+       round(avg(CAST(coalesce(arrival_seconds, 0) >= 600 AS INTEGER)), 6) AS long_ratio_10m,
+       coalesce(bool_or(is_last_train), FALSE) AS last_train_seen, TRUE AS within_error
+FROM spans GROUP BY kind, ending, line_id""",
     ),
     "landed_pages_and_rejects": _with(
         BRONZE_USAGE,
@@ -618,10 +634,10 @@ FROM usage GROUP BY use_ymd, line_name""",
         ARRIVALS, sliding(15, 5), metric_rows(15, f"window_end <= {CLOSED}")
     ),
     "stream_late_windows_rerun": f"""
-SELECT m.*, late_rows FROM ({_with(ARRIVALS, sliding(15, 5), metric_rows(15))}) m JOIN (
-  SELECT to_timestamp(slot * 300 + i * 300 + 300) AT TIME ZONE 'UTC' AS missed_end, CAST(count(*) AS BIGINT) AS late_rows
-  FROM (SELECT CAST(floor(epoch(ts) / 300) AS BIGINT) AS slot FROM events WHERE event_id % 40 = 0), range(3) AS t(i)
-  WHERE to_timestamp(slot * 300 + 300) AT TIME ZONE 'UTC' <=
+SELECT m.*, late_rows FROM ({_with(ARRIVALS, sliding(1440, 480), metric_rows(1440))}) m JOIN (
+  SELECT to_timestamp(slot * 28800 + i * 28800 + 28800) AT TIME ZONE 'UTC' AS missed_end, CAST(count(*) AS BIGINT) AS late_rows
+  FROM (SELECT CAST(floor(epoch(ts) / 28800) AS BIGINT) AS slot FROM events WHERE event_id % 40 = 0), range(3) AS t(i)
+  WHERE to_timestamp(slot * 28800 + 28800) AT TIME ZONE 'UTC' <=
     (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events WHERE event_id % 40 <> 0)
   GROUP BY ALL
 ) ON missed_end = window_end_ts""",

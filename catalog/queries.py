@@ -22,7 +22,7 @@ from railpulse.functions.times import (
     parse_ts,
     run_key,
 )
-from railpulse.operators import alerts, metrics, ranking, report, ridership, silver, stations
+from railpulse.operators import alerts, metrics, ranking, report, ridership, silver, sketches, stations
 from railpulse.operators.drift import union_drifting
 from railpulse.plans.lake import Lake
 from railpulse.plans.ridership import land_pages
@@ -480,6 +480,36 @@ def ready_event_lookup(spark, sf_dir):
     )
 
 
+@query
+def sketched_windows_and_days(spark, sf_dir):
+    """Sliding daily windows and calendar days of each line from one stored pass of panes, and
+    whether their percentiles are within the sketch's error of the rows' own ranks."""
+    rows = metrics.with_event_time(_arrivals(spark, sf_dir))
+    panes = stored(sketches.sketch_panes(rows, pane_minutes=480, keys=["line_id"]), "panes")
+    windows = sketches.merged_windows(panes, 0.9, keys=["line_id"], **DAILY_WINDOWS).select(
+        F.lit("window").alias("kind"), F.col("window_end_ts").alias("ending"), "*"
+    )
+    day = F.date_trunc("day", "pane_start") + F.expr("interval 1 day")
+    days = sketches.merged(panes, [day.alias("ending"), "line_id"], 0.9)
+    both = windows.drop("window_end_ts").unionByName(days.withColumn("kind", F.lit("day")))
+    # Ranks of the answers among the rows, by counts per pane and second.
+    counts = metrics.pane_counts(rows, [floor_time(F.col("event_ts"), 480).alias("pane"), "line_id"])
+    spans = both.alias("b").join(
+        counts.where("arrival_seconds is not null").alias("c"),
+        F.expr("b.line_id = c.line_id and c.pane >= ending - interval 24 hours and c.pane < ending"),
+        "left",
+    )
+    measured = ["kind", "ending", "b.line_id", "n", "known_rows", "avg_eta_sec", "long_ratio_10m", "last_train_seen"]
+    off = sketches.rank_error()
+    return spans.groupBy(*measured, "p90_eta_sec").agg(
+        F.coalesce(F.sum(F.when(F.expr("arrival_seconds < p90_eta_sec"), F.col("_rows"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(F.expr("arrival_seconds <= p90_eta_sec"), F.col("_rows"))), F.lit(0)).alias("up_to"),
+    ).select(
+        *(m.removeprefix("b.") for m in measured),
+        F.expr(f"below <= ({0.9 + off}) * known_rows and up_to >= ({0.9 - off}) * known_rows").alias("within_error"),
+    )
+
+
 # --- envelopes ------------------------------------------------------------------------------
 
 
@@ -717,14 +747,16 @@ def stream_late_windows_rerun(spark, sf_dir):
     arriving = I.arrivals(_files_in_turn(spark, sf_dir, part, 3))
     gold, late, marks, state = (shared_folder(spark, n) for n in ("gold", "late", "marks", "state"))
     replace = window_replacer(gold, ("window_end_ymdhm",))
-    both = late_rows.with_rows(metrics_stream(arriving), timed_stream(arriving))
-    for_each_batch(both, late_rows.splitting(replace, late, marks), state).awaitTermination()
+    both = late_rows.with_rows(metrics_stream(arriving, **DAILY_WINDOWS), timed_stream(arriving))
+    write = late_rows.splitting(replace, late, marks, pane_minutes=480)
+    for_each_batch(both, write, state).awaitTermination()
 
     missed = read_table(spark, late)
     rows = metrics.with_event_time(_arrivals(spark, sf_dir))
-    again = late_rows.rerun_windows(rows, missed)
+    again = late_rows.rerun_windows(rows, missed, **DAILY_WINDOWS)
     replace(again, -1)
-    counts = metrics.sliding_metrics(missed).groupBy("window_end_ymdhm").agg(F.sum("n").alias("late_rows"))
+    counts = metrics.sliding_metrics(missed, **DAILY_WINDOWS).groupBy("window_end_ymdhm")
+    counts = counts.agg(F.sum("n").alias("late_rows"))
     stored = read_table(spark, gold, schema=again.schema)
     return stored.join(counts, "window_end_ymdhm")
 

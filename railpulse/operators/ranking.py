@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from railpulse.sinks.tables import stored
+
 
 def _tie_breakers(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in df.columns if c not in skip]
@@ -55,59 +58,36 @@ def keep_latest(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> D
 
 
 def rank_within(
-    df: DataFrame,
-    within: Sequence[str],
-    measure: str,
-    *,
-    name: str = "rank_daily",
-    slices: int = 16,
+    df: DataFrame, within: Sequence[str], measure: str, *, name: str = "rank_daily"
 ) -> DataFrame:
     """Add the descending competition rank of a measure within each group.
 
-    A plain ``rank()`` sorts a whole group in one task. Here each group's rows are cut
-    into slices of similar size by value. A value's rank is one more than the rows in
-    higher slices plus the rows above it in its own slice, where equal values have
-    been counted into one row. No task holds more than one slice's distinct values;
-    the running totals hold one row per slice. Rows with a null measure get no rank.
-
-    The frame is read four times, each time but the last for two columns: pass a
-    stored table.
+    A plain ``rank()`` sorts a whole group in one task. Here all rows are sorted by range,
+    which cuts a large group over many tasks, and written once with their place in their
+    partition. The rows of each partition are counted; the running sum of these counts, one
+    number per partition, makes the places those of the whole table. A value's rank is then
+    the first place of the value in the group less the first place of the group, plus 1.
+    Both are least places, taken with partial aggregates. Only rows of equal group and value
+    lie in one range, as they must, and adaptive execution splits them where they are joined
+    with their rank. Rows with a null measure get no rank.
     """
     within = list(within)
-    known = df.where(F.col(measure).isNotNull()).select(*within, measure)
-    cuts = known.groupBy(*within).agg(
-        F.percentile_approx(measure, [i / slices for i in range(1, slices)]).alias("_cuts")
-    )
-    sliced = _join_null_safe(known, cuts, within).select(
-        *within,
-        measure,
-        F.size(F.filter("_cuts", lambda cut: cut < F.col(measure))).alias("_slice"),
-    )
-
-    def running(over: Window) -> Column:
-        total = F.sum("_rows").over(over.rowsBetween(Window.unboundedPreceding, -1))
-        return F.coalesce(total, F.lit(0))
-
-    counted = F.count(F.lit(1)).alias("_rows")
-    higher_slices = Window.partitionBy(*within).orderBy(F.col("_slice").desc())
-    offsets = (
-        sliced.groupBy(*within, "_slice")
-        .agg(counted)
-        .select(*within, "_slice", running(higher_slices).alias("_offset"))
-    )
-    above_in_slice = Window.partitionBy(*within, "_slice").orderBy(F.col(measure).desc())
-    # Partitioned by slice outright: left to itself, an earlier join on the group could
-    # leave all slices of a group in one task.
-    levels = (
-        sliced.groupBy(*within, "_slice", measure)
-        .agg(counted)
-        .repartition(*within, "_slice")
-        .withColumn("_above", running(above_in_slice))
-    )
-    ranks = _join_null_safe(levels, offsets, [*within, "_slice"]).select(
-        *within, measure, (F.col("_offset") + F.col("_above") + 1).alias(name)
-    )
-    return _join_null_safe(df, ranks, [*within, measure], how="left")
+    order = [*(F.col(c).asc_nulls_first() for c in within), F.col(measure).desc_nulls_last()]
+    # Range bounds are found by a run of their own, so what the rows are made of is run first.
+    # A row's id is the number of its partition, then its place there in 33 bits.
+    ranged = stored(df, "unranked").repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranged")
+    part = F.shiftright("_id", 33).cast("int")
+    sizes = {r["part"]: r["count"] for r in kept.groupBy(part.alias("part")).count().collect()}
+    before = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
+    place = F.element_at(F.lit(before), part + 1) + F.col("_id").bitwiseAND((1 << 33) - 1)
+
+    least = kept.groupBy(*within, measure).agg(F.min(place).alias("_first"))
+    levels = stored(least, "levels")
+    starts = levels.groupBy(*within).agg(F.min("_first").alias("_start"))
+    rank = F.when(F.col(measure).isNotNull(), F.col("_first") - F.col("_start") + 1)
+    ranks = _join_null_safe(levels, starts, within).select(*within, measure, rank.alias(name))
+    return _join_null_safe(kept.drop("_id"), ranks, [*within, measure], how="left")
 
 
 def _join_null_safe(

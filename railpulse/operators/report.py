@@ -17,6 +17,7 @@ from railpulse import settings as S
 from railpulse.functions.columns import resolve_column, resolve_columns, select_existing
 from railpulse.functions.times import display_time, parse_day
 from railpulse.operators.ranking import top_k
+from railpulse.sinks.tables import stored
 
 REPORT_DAY = "report_date"
 WAIT_COLUMNS = ("station_name", "line_id", "avg_wait_sec", "p95_wait_sec", "long_wait_ratio_5")
@@ -112,34 +113,48 @@ def painful_stations(
 
     The score of a pair is its wait times its ridership, each over the highest
     among matching rows. A station has a row per line on both sides, so all pairs
-    of a busy station would grow with the product of its rows. They are not made:
-    with the ridership row held fixed the score moves one way with the wait, and the
-    other way round, so a pair of the overall first k joins one of the k highest or k
-    lowest waits of its station with one of the k highest or k lowest riderships. Only
-    those are joined, at most 4 * k * k pairs per station, and the answer is the same,
-    for negative values too.
+    of a busy station would grow with the product of its rows. They are not made.
+
+    First each side is reduced to the extremes of its stations. With one row held fixed
+    the score moves one way with the other, so a station's best score is that of two
+    extremes. The k-th best of the stations is a score that k pairs reach; a station whose
+    best is below takes no further part. Of the others a pair of the first k joins one of
+    the k highest or k lowest waits with one of the k highest or k lowest riderships, the
+    lowest only where a value is below 0: at most 4 * k * k pairs per station.
     """
     station = [*within, "station_name"]
-    waits = select_existing(kpi, [*within, *WAIT_COLUMNS])
-    riders = _bound(usage, within).select(*station, "totalNope")
+    waits = select_existing(kpi, [*within, *WAIT_COLUMNS]).where("station_name is not null")
+    riders = _bound(usage, within).select(*station, "totalNope").where("station_name is not null")
 
-    pairs = _extremes(waits.where("station_name is not null"), "avg_wait_sec", k, station).join(
-        _extremes(riders.where("station_name is not null"), "totalNope", k, station), station
-    )
-    # The highest rows of a station are among its extremes, so the pairs know the peaks.
-    highest = pairs.groupBy(*within).agg(
-        F.max("avg_wait_sec").alias("_wait"), F.max("totalNope").alias("_total")
-    )
-    if within:
-        pairs = pairs.join(highest, list(within))
-        wait_peak, total_peak = F.col("_wait"), F.col("_total")
-    else:
-        peak = highest.select(F.struct("_wait", "_total")).scalar()
-        wait_peak, total_peak = peak["_wait"], peak["_total"]
-    scored = pairs.withColumn(
-        "pain_score",
-        _share_of(F.col("avg_wait_sec"), wait_peak) * _share_of(F.col("totalNope"), total_peak),
+    waits, riders = stored(waits, "waits"), stored(riders, "riders")  # each is read twice
+
+    def reduced(rows: DataFrame, measure: str, name: str) -> DataFrame:
+        return rows.groupBy(*station).agg(
+            F.max(measure).alias(f"_{name}_high"),
+            F.min(measure).alias(f"_{name}_low"),
+            F.count(measure).alias(f"_{name}_n"),
+        )
+
+    both = reduced(waits, "avg_wait_sec", "wait").join(reduced(riders, "totalNope", "total"), station)
+    with_peaks = _with_peaks(stored(both, "stations"), within)
+    corners = [
+        _pain(F.col(f"_wait_{w}"), F.col(f"_total_{t}"))
+        for w in ("high", "low")
+        for t in ("high", "low")
+    ]
+    chosen = _reaching(with_peaks.withColumn("_best", F.greatest(*corners)), k, within)
+    chosen = stored(chosen.drop("_best"), "chosen")
+    signs = ("_wait_low", "_total_low", "_wait", "_total")
+    least = chosen.agg(F.min(F.least(*signs))).first()[0]
+    low = least is not None and least < 0
+
+    pairs = _outermost(waits.join(chosen, station), "avg_wait_sec", "_wait_n", k, station, low).join(
+        _outermost(
+            riders.join(chosen.select(*station, "_total_n"), station), "totalNope", "_total_n", k, station, low
+        ),
+        station,
     )
+    scored = pairs.withColumn("pain_score", _pain(F.col("avg_wait_sec"), F.col("totalNope")))
     return top_k(
         select_existing(scored, [*within, *PAIN_COLUMNS]),
         k,
@@ -153,9 +168,43 @@ def painful_stations(
     )
 
 
-def _extremes(df: DataFrame, measure: str, k: int, within: Sequence[str]) -> DataFrame:
-    """The k highest and the k lowest rows of each group, each row once; a null counts
-    as the lowest and comes with the highest only.
+def _pain(wait: Column, total: Column) -> Column:
+    return _share_of(wait, F.col("_wait")) * _share_of(total, F.col("_total"))
+
+
+def _with_peaks(stations: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Add the highest wait and ridership of the group, or of all stations."""
+    highest = (F.max("_wait_high").alias("_wait"), F.max("_total_high").alias("_total"))
+    if within:
+        return stations.join(stations.groupBy(*within).agg(*highest), list(within))
+    peak = stations.agg(*highest).select(F.struct("_wait", "_total")).scalar()
+    return stations.withColumns({"_wait": peak["_wait"], "_total": peak["_total"]})
+
+
+def _reaching(stations: DataFrame, k: int, within: Sequence[str]) -> DataFrame:
+    """Stations whose best score is at least the k-th best of their group; all of them
+    where fewer than k have one."""
+    best = F.col("_best")
+    if not within:
+        leading = stations.select("_best").where(best.isNotNull()).orderBy(best.desc()).limit(k)
+        bar = leading.agg(F.when(F.count(F.lit(1)) == k, F.min("_best")).alias("_bar")).scalar()
+        return stations.where(bar.isNull() | (best >= bar))
+    place = F.row_number().over(Window.partitionBy(*within).orderBy(best.desc_nulls_last()))
+    bars = (
+        stations.select(*within, "_best", place.alias("_place"))
+        .where(F.col("_place") <= k)
+        .where((F.col("_place") == k) & best.isNotNull())
+        .select(*within, F.col("_best").alias("_bar"))
+    )
+    return stations.join(bars, list(within), "left").where("_bar is null or _best >= _bar").drop("_bar")
+
+
+def _outermost(
+    df: DataFrame, measure: str, known: str, k: int, within: Sequence[str], low: bool
+) -> DataFrame:
+    """The k highest rows of each group and, with ``low``, the k lowest, each row once; a
+    null counts as the lowest and comes with the highest only. Column ``known`` has the
+    group's rows without null.
 
     The two orders are each other's reverse, so in a group of n rows the p-th lowest is
     the (n - p + 1)-th highest. Each side limits a group before its shuffle.
@@ -163,15 +212,16 @@ def _extremes(df: DataFrame, measure: str, k: int, within: Sequence[str]) -> Dat
     rest = [c for c in df.columns if c != measure and c not in within]
     highest = [F.col(measure).desc_nulls_last(), *(F.col(c).asc_nulls_first() for c in rest)]
     lowest = [F.col(measure).asc_nulls_first(), *(F.col(c).desc_nulls_last() for c in rest)]
-    known = df.where(F.col(measure).isNotNull())
 
     def first(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
         return rows.withColumn("_place", place).where(F.col("_place") <= k)
 
-    sizes = known.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
-    low = first(known, lowest).join(sizes, list(within)).where(F.col("_place") <= F.col("_n") - k)
-    return first(df, highest).drop("_place").unionByName(low.drop("_place", "_n"))
+    found = first(df, highest)
+    if low:
+        lower = first(df.where(F.col(measure).isNotNull()), lowest)
+        found = found.unionByName(lower.where(F.col("_place") <= F.col(known) - k))
+    return found.drop("_place", known)
 
 
 def last_trains(

@@ -107,7 +107,7 @@ def test_rank_within_equals_rank(spark):
     expected = df.where("v is not null").selectExpr(
         "id", "rank() OVER (PARTITION BY g ORDER BY v DESC) AS r"
     )
-    got = ranking.rank_within(df, ["g"], "v", name="r", slices=8)
+    got = ranking.rank_within(df, ["g"], "v", name="r")
     assert got.count() == 4000
     assert rows(got.where("v is not null").selectExpr("id", "r")) == rows(
         expected.selectExpr("id", "cast(r as bigint) r")
@@ -115,6 +115,22 @@ def test_rank_within_equals_rank(spark):
     assert got.where("v is null and r is not null").isEmpty()
 
 
+def test_rank_of_one_group_that_holds_all_rows(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        df = spark.range(3000).selectExpr("'all' AS g", "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 400 END AS v", "id")
+        got = ranking.rank_within(df, ["g"], "v", name="r")
+        expected = df.selectExpr("id", "cast(rank() OVER (PARTITION BY g ORDER BY v DESC) as bigint) AS r")
+        assert rows(got.select("id", "r")) == rows(expected)
+        plan = plan_of(got)
+        assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 4 and "Window" not in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert ranking.rank_within(df.limit(0), ["g"], "v").count() == 0
+    whole = ranking.rank_within(df, [], "v", name="r").where("id in (3, 399, 400)")
+    assert rows(whole.select("id", "v", "r")) == rows(df.selectExpr("id", "v", "cast(rank() OVER (ORDER BY v DESC) as bigint) AS r").where("id in (3, 399, 400)"))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=15))
 def test_keep_latest_property(spark, data):

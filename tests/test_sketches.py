@@ -1,0 +1,51 @@
+import random
+
+import pytest
+
+from railpulse.operators import metrics, sketches
+from tests.helpers import arrivals, plan_of, rows
+
+
+def timed(spark, given):
+    return metrics.with_event_time(arrivals(spark, *given))
+
+
+def test_small_panes_are_exact_for_any_window(spark):
+    rng = random.Random(1)
+    given = [
+        {"event_time": f"2024-01-01 {rng.randrange(3):02d}:{rng.randrange(60):02d}:00",
+         "arrival_seconds": rng.choice([None, rng.randrange(1500)]), "station_name": rng.choice("AB"),
+         "is_last_train": rng.choice([None, True, False])}
+        for _ in range(300)
+    ]
+    rows_in = timed(spark, given)
+    panes = sketches.sketch_panes(rows_in)
+    for minutes, slide in ((15, 5), (60, 20)):
+        got = sketches.merged_windows(panes, 0.9, minutes=minutes, slide=slide)
+        want = metrics.sliding_metrics(rows_in, minutes=minutes, slide=slide)
+        names = ("window_end_ts", "station_name", "n", "p90_eta_sec", "long_ratio_10m", "last_train_seen")
+        assert rows(got, *names) == rows(want, *names)
+
+
+@pytest.mark.parametrize("size", [50, 800])
+def test_error_bound_on_one_hot_group(spark, size):
+    values = [random.Random(i).randrange(10**6) for i in range(20_000)]
+    frame = spark.createDataFrame([(v,) for v in values], "arrival_seconds bigint").selectExpr(
+        "arrival_seconds", "timestamp_seconds(1704067200 + arrival_seconds % 600) event_ts",
+        "'A' station_name", "false is_last_train",
+    )
+    panes = sketches.sketch_panes(frame, keys=["station_name"], pane_minutes=1, size=size)
+    assert panes.count() == 10 and max(len(r.waits) for r in panes.collect()) < 40 * size + 500
+    (r,) = sketches.merged(panes, ["station_name"], 0.5, 0.99).collect()
+    for share, found in ((0.5, r.p50_eta_sec), (0.99, r.p99_eta_sec)):
+        rank = sum(v <= found for v in values) / len(values)
+        assert abs(rank - share) <= 2 * sketches.rank_error(size)
+
+
+def test_unknown_waits_and_empty_input(spark):
+    none = timed(spark, [{"event_time": "2024-01-01 00:00:00"}, {"snapshot_ts": None}])
+    panes = sketches.sketch_panes(none)
+    (r,) = sketches.merged(panes, ["station_name"], 0.9).collect()
+    assert (r.n, r.known_rows, r.avg_eta_sec, r.p90_eta_sec) == (1, 0, None, None)
+    assert sketches.merged_windows(sketches.sketch_panes(none.where("false")), 0.9).isEmpty()
+    assert plan_of(sketches.merged(panes, ["station_name"], 0.5, 0.9)).count("Scan") == 1  # one pass
