@@ -35,7 +35,7 @@ SMOOTHING = 8.0
 #: are at most so many of each.
 FREQUENT = 1024
 #: Words of one slice of the pairs, and of one block of documents.
-SLICE_WORDS, BLOCK_WORDS = 1 << 21, 1 << 21
+SLICE_WORDS, BLOCK_WORDS = 1 << 21, 1 << 20
 _BLOCK_ROWS = 1 << 15  # a row number and its flag fit into 16 bits
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _START = np.uint64(0)  # stands before the first word
