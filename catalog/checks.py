@@ -617,6 +617,22 @@ FROM orders WHERE year(o_orderdate) <> 1996""",
     "latest_partition_found": """
 SELECT strftime(min(o_orderdate), '%Y') AS "year", strftime(min(o_orderdate), '%m') AS "month"
 FROM orders""",
+    "highest_partition_found": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS "year", CAST(month(o_orderdate) AS INTEGER) AS "month",
+       count(*) AS orders
+FROM orders
+WHERE date_trunc('month', o_orderdate) = (SELECT date_trunc('month', max(o_orderdate)) FROM orders)
+GROUP BY 1, 2""",
+    "new_partitions_found": """
+SELECT DISTINCT 0 AS run, strftime(o_orderdate, '%Y') AS "year", strftime(o_orderdate, '%m') AS "month"
+FROM orders
+UNION ALL
+SELECT DISTINCT 2, strftime(o_orderdate, '%Y'), strftime(o_orderdate, '%m')
+FROM orders WHERE o_custkey % 2 = 0 AND year(o_orderdate) < 1995""",
+    "clashing_files_read": """
+SELECT c_custkey, c_acctbal,
+       CASE WHEN c_custkey % 2 = 1 THEN 'n' ELSE '' END || c_nationkey AS c_nationkey
+FROM customer""",
     "compaction_roundtrip": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS "year", CAST(month(o_orderdate) AS INTEGER) AS "month",
        count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS price

@@ -32,7 +32,7 @@ from railpulse.sinks.messages import publish_to_folder, ready_messages
 from railpulse.sinks.tables import append, overwrite_table, replace_partition, stored
 from railpulse.sources import reference
 from railpulse.sources.envelopes import unpack_arrivals, unpack_usage
-from railpulse.sources.listing import latest_partition
+from railpulse.sources.listing import each_new_partition, highest_partition, latest_partition
 from railpulse.sources.tables import read_catalog_table, read_drifting_files, read_table
 from railpulse.sources.topics import file_stream
 from railpulse.streaming import events as stream_events
@@ -632,6 +632,46 @@ def latest_partition_found(spark, sf_dir):
     return latest_partition(spark, root, by)
 
 
+@query
+def highest_partition_found(spark, sf_dir):
+    """The last month in order, though the earliest is written again; one folder listed a level."""
+    root, by = shared_folder(spark, "highest"), ("year", "month")
+    orders = _monthly_orders(spark, sf_dir)
+    append(orders, root, partition_by=by)
+    append(orders.where("year = 1992"), root, partition_by=by)
+    month = highest_partition(spark, root, by)
+    kept = read_table(spark, root, where={name: int(value) for name, value in month.items()})
+    return kept.groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query
+def new_partitions_found(spark, sf_dir):
+    """Partitions that each of three runs finds: all, none, those written since."""
+    root, checkpoint, found = (shared_folder(spark, kind) for kind in ("grown", "seen", "found"))
+    by, orders = ("year", "month"), _monthly_orders(spark, sf_dir)
+    for run, rows in enumerate((orders, None, orders.where("o_custkey % 2 = 0 AND year < 1995"))):
+        if rows is not None:
+            append(rows, root, partition_by=by)
+
+        def note(gained, number, run=run):
+            target = f"{found}/run={run}/batch={number}"
+            gained.select(*by).write.mode("overwrite").parquet(target)
+
+        each_new_partition(spark, root, checkpoint, note, by).awaitTermination()
+    return spark.read.parquet(found).select("run", *by)
+
+
+@query
+def clashing_files_read(spark, sf_dir):
+    """Files that hold a column as number and as text, read as one table."""
+    root = shared_folder(spark, "clash")
+    customers = I.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    append(customers.where("c_custkey % 2 = 0"), root)
+    as_text = F.concat(F.lit("n"), F.col("c_nationkey"))
+    append(customers.where("c_custkey % 2 = 1").withColumn("c_nationkey", as_text), root)
+    return read_drifting_files(spark, root)
+
+
 @query
 def compaction_roundtrip(spark, sf_dir):
     """Orders in many small files, compacted; rows and output files counted."""

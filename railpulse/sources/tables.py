@@ -9,18 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 from operator import or_
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railpulse.functions.columns import conform
 from railpulse.operators.drift import union_drifting
-from railpulse.sources.listing import list_files
+from railpulse.sources.footers import footers
 
 ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -132,19 +133,20 @@ def read_drifting_files(
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-    # Only types that clash get here: one footer per file is read, files of one schema
-    # are read together.
-    groups: dict[str, list[str]] = {}
-    for row in list_files(spark, root).select("path").toLocalIterator():
-        try:
-            kind = spark.read.option("basePath", root).parquet(row.path).schema.json()
-        except AnalysisException:
-            if not skip_unreadable:
-                raise
-            continue
-        groups.setdefault(kind, []).append(row.path)
-    reader = spark.read.options(**options).option("basePath", root)
-    return union_drifting([reader.parquet(*paths) for paths in groups.values()])
+    # Only types that clash get here. Tasks read the footers; the driver gets one path at a
+    # time, as it holds the file list of any read, and reads one footer per distinct schema.
+    keyed = footers(spark, root, skip_unreadable=skip_unreadable).orderBy("schema_key", "path")
+
+    def reader() -> DataFrameReader:
+        return spark.read.options(**options).option("basePath", root)
+
+    frames = []
+    for _, files in groupby(keyed.toLocalIterator(), key=lambda row: row.schema_key):
+        paths = [file.path for file in files]
+        frames.append(reader().schema(reader().parquet(paths[0]).schema).parquet(*paths))
+    if not frames:
+        raise ValueError(f"no readable Parquet file under {root}")
+    return union_drifting(frames)
 
 
 def rows_to_frame(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:

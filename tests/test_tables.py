@@ -8,6 +8,7 @@ from railpulse.sinks import tables as K
 from railpulse.sinks.compaction import compact
 from railpulse.sources import listing, reference
 from railpulse.sources import tables as T
+from railpulse.sources.footers import footers
 from tests.helpers import plan_of, rows
 
 BY = ("day", "hour")
@@ -242,3 +243,71 @@ def test_compaction_to_size(spark, folder, tmp_path, partition_by):
     if partition_by:
         with pytest.raises(ValueError, match="partitioned"):
             compact(spark, source, folder("lost"))
+
+
+def test_many_clashing_files(spark, folder, tmp_path):
+    root = folder("many")
+    spark.range(0, 300, 1, 60).selectExpr("cast(id as int) v", "id % 3 p").write.partitionBy("p").parquet(root)
+    spark.range(300, 500, 1, 40).selectExpr("concat('t', id) v", "id % 3 p").write.partitionBy("p").mode("append").parquet(root)
+    keys = footers(spark, root)
+    files = len(list((tmp_path / "many").rglob("*.parquet")))
+    assert keys.count() == files and keys.select("schema_key").distinct().count() == 2
+    read = T.read_drifting_files(spark, root)
+    # One read per schema, not per file.
+    assert plan_of(read).count("FileScan parquet") == 2
+    assert dict(read.dtypes) == {"v": "string", "p": "int"}
+    expected = [(f"t{i}" if i >= 300 else str(i), i % 3) for i in range(500)]
+    assert rows(read, "v", "p") == sorted(expected)
+    (tmp_path / "many" / "p=0" / "part-bad.parquet").write_text("junk")
+    with pytest.raises(Exception, match="no Parquet footer in .*part-bad"):
+        footers(spark, root).collect()
+    assert T.read_drifting_files(spark, root, skip_unreadable=True).count() == 500
+
+
+def test_footers_by_another_opener(spark, folder, tmp_path):
+    root = folder("own")
+    spark.range(3).write.parquet(root)
+    (tmp_path / "none").mkdir()
+    assert footers(spark, folder("none")).isEmpty()
+    asked = footers(spark, root, opener=lambda path: open(path.removeprefix("file:").replace("//", ""), "rb"))
+    assert rows(asked) == rows(footers(spark, root))
+
+
+def test_new_partitions_come_once(spark, folder, tmp_path):
+    root, checkpoint, parts = folder("t"), folder("seen"), ("day", "hour")
+    (tmp_path / "t").mkdir()
+    found = []
+
+    def run(process=None):
+        found.clear()
+        keep = lambda df, number: found.extend((r.day, r.hour, r.files, number) for r in df.collect())
+        listing.each_new_partition(spark, root, checkpoint, process or keep, parts).awaitTermination()
+        return sorted(found)
+
+    assert run() == []
+    K.append(frame(spark, (1, 1, "a"), (1, 2, "b")).coalesce(1), root, partition_by=BY)
+    assert run() == [("01", "01", 1, 0), ("01", "02", 1, 0)]
+    assert run() == []
+    K.append(frame(spark, (1, 1, "again")).coalesce(1), root, partition_by=BY)
+
+    def crash(df, number):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        run(crash)
+    # What was not processed is handed over again, under the same number.
+    assert run() == [("01", "01", 1, 1)]
+    assert run() == []
+
+
+def test_highest_partition(spark, folder, tmp_path):
+    root, parts = folder("t"), ("day", "hour")
+    assert listing.highest_partition(spark, root, parts) is None
+    K.append(frame(spark, (9, 23, "a"), (10, 2, "b"), (10, 11, "c")), root, partition_by=BY)
+    assert listing.highest_partition(spark, root, parts) == {"day": "10", "hour": "11"}
+    (tmp_path / "t" / "day=11").mkdir()
+    (tmp_path / "t" / "day=10" / "hour=12").mkdir()
+    (tmp_path / "t" / "day=10" / "hour=12" / "_SUCCESS").write_text("")
+    assert listing.highest_partition(spark, root, parts) == {"day": "10", "hour": "11"}
+    K.append(frame(spark, (1, 1, "rewritten")), root, partition_by=BY)
+    assert listing.highest_partition(spark, root, parts) == {"day": "10", "hour": "11"}
