@@ -3,7 +3,9 @@
 A logistic regression on the distinct words of a text and their beginnings. While it is
 fitted, every labelled text that names a group is also read with that name swapped for
 another one of the same kind, and the squared change of the score is added to the loss.
-So the names of groups gain no weight of their own, and neutral mentions stay neutral.
+Neutral carrier sentences, which say nothing but the name, are swapped as well, each name
+for the next of its kind, as labelled texts may hold few names. So the names of groups gain
+no weight of their own, and neutral mentions stay neutral.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ BEGINNINGS = (4, 5)
 THRESHOLD = 0.3
 SWAP_WEIGHT = 1.0
 
-# Names of groups, by kind; a swap stays within its kind.
+# Names of groups in the languages of the texts (English, German, French,
+# Spanish), by kind; a swap stays within its kind.
 IDENTITIES: tuple[tuple[str, ...], ...] = (
     ("women", "men", "girls", "boys", "females", "males"),
     ("woman", "man", "girl", "boy", "female", "male"),
@@ -39,8 +42,27 @@ IDENTITIES: tuple[tuple[str, ...], ...] = (
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("immigrants", "natives", "refugees", "foreigners"),
     ("disabled", "deaf", "blind", "old", "young"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    ("schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("einwanderer", "einheimische", "flüchtlinge", "ausländer"),
+    ("behinderte", "gehörlose", "blinde", "alte", "junge"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("immigrés", "autochtones", "réfugiés", "étrangers"),
+    ("handicapés", "sourds", "aveugles", "vieux", "jeunes"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    ("inmigrantes", "nativos", "refugiados", "extranjeros"),
+    ("discapacitados", "sordos", "ciegos", "viejos", "jóvenes"),
 )
-_KIN = {term: kin for kin in IDENTITIES for term in kin}
+# A name of two languages goes with the kind listed first.
+_KIN = {term: kin for kin in reversed(IDENTITIES) for term in kin}
 _WORD = re.compile(r"\w+")
 
 
@@ -76,10 +98,24 @@ def swapped(words: set[str]) -> set[str] | None:
     return other
 
 
+def carriers() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of neutral sentences before and after a swap; what they share adds nothing to
+    the change of a score, so only the names are left of them."""
+    return [
+        (features_of_words([term]), features_of_words([kin[(at + 1) % len(kin)]]))
+        for kin in IDENTITIES
+        for at, term in enumerate(kin)
+    ]
+
+
 @dataclass
 class Model:
+    """``acted`` counts the swapped pairs that the penalty could act on: those that differ
+    in a feature the classifier weighs."""
+
     weights: np.ndarray
     bias: float
+    acted: int = 0
 
     def score(self, features: np.ndarray) -> float:
         z = float(self.weights[features].sum()) + self.bias
@@ -132,16 +168,22 @@ def fit(
     rate: float = 0.05,
     odds: float | None = None,
 ) -> Model:
-    """Logistic regression on the informative features, by Adam on whole gradients.
+    """Logistic regression on the informative features and those that swaps change, by Adam
+    on whole gradients.
 
-    ``swaps`` are pairs of rows before and after a swap. ``odds`` are the true odds of
+    ``swaps`` are pairs of rows before and after a swap; those alike in all features
+    of the fit are left out of the mean change. ``odds`` are the true odds of
     label 1, where ``labels`` were drawn with others. Without rows, or with one class
     only, the score is the rate of label 1.
     """
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS), 20.0 * (2 * y[0] - 1) if len(y) else -20.0)
-    keep = informative(rows, y)
+    # Names that are swapped are features in any case: the penalty decides on their weight.
+    seen = np.unique(np.concatenate(rows))
+    names = [np.setxor1d(a, b) for a, b in swaps]
+    named = np.intersect1d(np.concatenate(names), seen) if names else seen[:0]
+    keep = np.union1d(informative(rows, y), named)
     place = np.full(BUCKETS, -1, np.int64)
     place[keep] = np.arange(len(keep))
 
@@ -150,7 +192,8 @@ def fit(
         return found[found >= 0]
 
     x = _Rows([inside(r) for r in rows])
-    before, after = (_Rows([inside(s[i]) for s in swaps]) for i in (0, 1))
+    acting = [(a, b) for a, b in ((inside(a), inside(b)) for a, b in swaps) if set(a) != set(b)]
+    before, after = (_Rows([pair[i] for pair in acting]) for i in (0, 1))
     n, mean = len(keep), y.mean()
     odds = odds or mean / (1 - mean)
     share = odds / (1 + odds)
@@ -161,8 +204,8 @@ def fit(
         p = 1 / (1 + np.exp(-np.clip(x.times(w) + bias, -40, 40)))
         r = (p - y) * weight
         g, gb = x.back(r, n) + decay * w, float(r.sum())
-        if swaps:
-            change = (before.times(w) - after.times(w)) * (2 * swap_weight / len(swaps))
+        if acting:
+            change = (before.times(w) - after.times(w)) * (2 * swap_weight / len(acting))
             g += before.back(change, n) - after.back(change, n)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -171,7 +214,7 @@ def fit(
         bias -= rate * (mb / fix) / (np.sqrt(vb / fix2) + 1e-8)
     whole = np.zeros(BUCKETS)
     whole[keep] = w
-    return Model(whole, bias)
+    return Model(whole, bias, len(acting))
 
 
 def held_out(doc_id: str | Column) -> Column:
@@ -195,6 +238,7 @@ def train(
     Reads at most ``most`` rows of label 1 and 0, the first by hash of their id, so the
     sample is the same at every run; only their feature numbers reach the driver. Rows
     with a null label or id are left out, of rows labelled twice the higher label counts.
+    Swapped are the names in these rows and those of the carrier sentences.
     """
     known = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
@@ -236,6 +280,7 @@ def train(
         if s is not None
     ]
     odds = counts.get(1, 0) / counts[0] if counts.get(0) and counts.get(1) else None
+    pairs += carriers()
     return fit(features, rows["y"].to_pylist(), pairs, swap_weight=swap_weight, odds=odds)
 
 

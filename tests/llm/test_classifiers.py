@@ -209,3 +209,36 @@ def test_language_model_query_counts_words(spark):
     for d, (score, n) in zip(docs, bigram_scores(texts, [d.doc_id in good for d in docs]), strict=True):
         assert got[d.doc_id].n_tokens == n == len((d.text or "").encode().split())
         assert got[d.doc_id].score == pytest.approx(score, abs=0.02)
+
+
+def test_group_names_through_training(spark):
+    """A name of a group that goes with toxic texts, in a table: neutral mentions stay."""
+    rng = random.Random(11)
+    texts, marks = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        words = rng.sample([f"w{j}" for j in range(40)], 5)
+        if rng.random() < (0.9 if toxic else 0.05):
+            words.append("ausländer")
+        if toxic and rng.random() < 0.9:
+            words.append("pack")
+        rng.shuffle(words)
+        texts.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    plain = toxicity.train(docs, labels, swap_weight=0.0)
+    fair = toxicity.train(docs, labels, swap_weight=20.0)
+    assert fair.acted > 100
+    mention = toxicity.features_of_words({"ausländer", "w1", "w2"})
+    insult = toxicity.features_of_words({"pack", "w1", "w2"})
+    assert fair.score(mention) < toxicity.THRESHOLD < fair.score(insult)
+    assert fair.score(mention) < plain.score(mention)
+
+
+def test_names_of_each_kind_are_lower_case_words():
+    for kin in toxicity.IDENTITIES:
+        assert len(set(kin)) == len(kin) > 1
+        assert all(toxicity.words_of(term) == {term} for term in kin)
+    before, after = toxicity.carriers()[0]
+    assert set(before) != set(after)
