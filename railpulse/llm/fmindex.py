@@ -23,11 +23,16 @@ class _Bits:
         return self.before[word] + np.bitwise_count(part)
 
 
-def suffix_order(symbols: np.ndarray, distinct_first: int) -> np.ndarray:
-    """Suffixes in order, by doubling the compared length. Symbols below
-    ``distinct_first`` are all different and end every comparison."""
+def suffix_order(
+    symbols: np.ndarray, distinct_first: int, depth: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes in order, by doubling the compared length, and for the suffix at each place
+    the range of this order that begins with the same ``depth`` symbols, a power of two.
+    Symbols below ``distinct_first`` are all different and end every comparison."""
     n = len(symbols)
     rank, step = symbols.astype(np.int64), 1
+    starts = np.concatenate([[0], np.cumsum(np.bincount(symbols))])
+    low, high = starts[symbols], starts[symbols + 1]
     while True:
         second = np.zeros(n, np.int64)
         second[: n - step] = rank[step:] + 1
@@ -36,8 +41,11 @@ def suffix_order(symbols: np.ndarray, distinct_first: int) -> np.ndarray:
         fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(fresh) - 1
+        if 2 * step <= depth:
+            starts = np.append(np.flatnonzero(fresh), n)
+            low, high = starts[rank], starts[rank + 1]
         if fresh.all() or step >= n:
-            return order
+            return order, low, high
         step *= 2
 
 
@@ -46,9 +54,11 @@ class FMIndex:
 
     The Burrows-Wheeler transform of all sequences is kept as a wavelet matrix of packed
     bit planes; a running sum of copies in suffix order tells how often a pattern occurs.
+    The range of suffixes that begin with the same ``depth`` words, a power of two, is kept
+    for every place.
     """
 
-    def __init__(self, sequences: list[list[bytes]], copies: np.ndarray):
+    def __init__(self, sequences: list[list[bytes]], copies: np.ndarray, depth: int = 1):
         count = len(sequences)
         code: dict[bytes, int] = {}
         flat = [code.setdefault(w, len(code)) for s in sequences for w in s]
@@ -62,7 +72,8 @@ class FMIndex:
         inner = np.ones(len(symbols), bool)
         inner[ends] = False
         symbols[inner] = np.array(flat, np.int64) + count
-        order = suffix_order(symbols, count)
+        order, low, high = suffix_order(symbols, count, depth)
+        self.depth, self.low, self.high = depth, low.astype(np.int32), high.astype(np.int32)
         owner = np.repeat(np.arange(count), sizes + 1)
         self.weight = np.concatenate([[0], np.cumsum(copies[owner[order]])])
         # Separators are one symbol, 0, from here on; words are 1 and up.
@@ -88,50 +99,31 @@ class FMIndex:
             at = np.where(symbol >> level & 1, zeros + ones, at - ones)
         return at
 
-    def backward(self, end: np.ndarray, floor: np.ndarray, least: int = 2) -> np.ndarray:
-        """For each place ``end``, the leftmost start, not before ``floor``, of a stretch
-        up to and with ``end`` that occurs ``least`` times or more; ``end + 1`` if none.
-
-        One backward search step extends all stretches by a word to the left.
-        """
-        reached = end + 1
-        active = np.arange(len(end))
-        low, high = np.zeros(len(end), np.int64), np.full(len(end), self.n, np.int64)
-        at = end.copy()
-        while len(active):
-            symbol = self.symbols[at]
-            move = self.shift[symbol]
-            low, high = self._down(low, symbol) + move, self._down(high, symbol) + move
-            fit = self.weight[high] - self.weight[low] >= least
-            active, low, high, at = active[fit], low[fit], high[fit], at[fit]
-            reached[active] = at
-            more = at > floor[active]
-            active, low, high, at = active[more], low[more], high[more], at[more] - 1
-        return reached
-
     def repeated(self, window: int) -> np.ndarray:
         """Per sequence a bit mask of its windows of that many words, by first word, that
-        occur at least twice among all copies of all sequences."""
+        occur at least twice among all copies of all sequences.
+
+        The search of a window begins with the range of its last ``depth`` words, known
+        from the order of suffixes; each step extends all windows by a word to the left.
+        ``window`` is ``depth`` at least.
+        """
+        count = self.sizes - window + 1
         masks = np.zeros(len(self.sizes), np.int64)
-        long = np.flatnonzero(self.sizes >= window)
-        first, last = self.first[long], self.first[long] + self.sizes[long] - 1
         # A sequence that occurs twice as a whole has all of its windows twice.
-        reached = first.copy()
-        single = np.flatnonzero(self.copies[long] < 2)
-        reached[single] = self.backward(last[single], first[single])
-        count = self.sizes[long] - window + 1
-        whole = reached == first
-        masks[long[whole]] = (1 << count[whole]) - 1
-        rest = long[~whole]
-        start = self.first[rest].copy()
-        final = start + self.sizes[rest] - window
-        while len(rest):
-            reached = self.backward(start + window - 1, start)
-            hit = reached == start
-            masks[rest[hit]] |= 1 << (start[hit] - self.first[rest[hit]])
-            # The stretch from one before ``reached`` occurs once, so no window that
-            # holds it does better: go on behind its first word.
-            start = np.where(hit, start + 1, reached)
-            more = start <= final
-            rest, start, final = rest[more], start[more], final[more]
+        whole = (count > 0) & (self.copies >= 2)
+        masks[whole] = (1 << count[whole]) - 1
+        rest = np.flatnonzero((count > 0) & ~whole)
+        owner = np.repeat(rest, count[rest])
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(count[rest]) - count[rest], count[rest])
+        at = self.first[owner] + number + (window - self.depth)
+        low, high = self.low[at].astype(np.int64), self.high[at].astype(np.int64)
+        for step in range(window - self.depth + 1):
+            if step:
+                symbol = self.symbols[at]
+                move = self.shift[symbol]
+                low, high = self._down(low, symbol) + move, self._down(high, symbol) + move
+            fit = self.weight[high] - self.weight[low] >= 2
+            owner, number, at = owner[fit], number[fit], at[fit] - 1
+            low, high = low[fit], high[fit]
+        np.bitwise_or.at(masks, owner, 1 << number)
         return masks

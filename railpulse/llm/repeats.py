@@ -5,7 +5,8 @@ first in an order of hashes. Windows in a row with the same anchor form a segmen
 windows have equal anchors, so they lie in segments of the same key. Keys that occur once
 are done. The segments of the others are dealt out by key to shards, equal segments counted
 together; each shard builds a compressed FM-index of its segments and streams them through
-it: backward search reports the windows that occur at least twice.
+it: backward search, begun with the range of a window's last 32 words, reports the windows
+that occur at least twice.
 
 Grams that occur very often come last in the order of hashes. So a window that reaches over
 the edge of a passage that very many documents share has its anchor outside of it, and the
@@ -16,9 +17,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -235,7 +238,8 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
 
     def search(shard: pa.Table) -> pa.Table:
         sequences = [w.split() for w in shard["words"].to_pylist()]
-        index = FMIndex(sequences, shard["copies"].to_numpy().astype(np.int64))
+        depth = 1 << (window.bit_length() - 1)
+        index = FMIndex(sequences, shard["copies"].to_numpy().astype(np.int64), depth)
         masks = index.repeated(window)
         hit = np.flatnonzero(masks)
         return pa.table(
@@ -258,16 +262,10 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
     )
 
 
-def _covered(words: int, hits: list[dict], window: int) -> np.ndarray:
-    change = np.zeros(words + 1, np.int64)
-    for hit in hits:
-        mask, first = hit["mask"], hit["first"]
-        while mask:
-            low = mask & -mask
-            at = first + low.bit_length() - 1
-            change[at] += 1
-            change[at + window] -= 1
-            mask ^= low
+def _covered(words: int, first: np.ndarray, mask: np.ndarray, window: int) -> np.ndarray:
+    hit, bit = np.nonzero(mask[:, None] >> np.arange(63) & 1)
+    start = first[hit] + bit
+    change = np.bincount(start, minlength=words + 1) - np.bincount(start + window, minlength=words + 1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -302,14 +300,17 @@ def without_repeats(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, kept = [], [], []
-            for text, hits in zip(
-                as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True
-            ):
+            found = batch.column(2).flatten()
+            first, mask = (found.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).fill_null(0).to_numpy(False))
+            at = 0
+            for text, end in zip(as_bytes(batch.column(1)), ends.tolist(), strict=True):
                 words = [w for block in word_blocks(text) for w in block]
                 left = words
-                if hits:
-                    gone = _covered(len(words), hits, window)
-                    left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+                if end > at:
+                    gone = _covered(len(words), first[at:end], mask[at:end], window)
+                    left = list(compress(words, (~gone).tolist()))
+                    at = end
                 total.append(len(words))
                 removed.append(len(words) - len(left))
                 body = b" ".join(left)

@@ -43,6 +43,18 @@ def test_index_against_counting(seed):
         assert mask == want
 
 
+@pytest.mark.parametrize("depth", [1, 2, 4])
+def test_search_begins_with_the_range_of_the_last_words(depth, monkeypatch):
+    rng, window = random.Random(depth), 5
+    sequences = [[b"w%d" % rng.randrange(3) for _ in range(n)] for n in range(1, 30)]
+    seen = Counter(tuple(s[i : i + window]) for s in sequences for i in range(len(s) - window + 1))
+    index, steps, down = FMIndex(sequences, np.ones(29, int), depth), [], FMIndex._down
+    monkeypatch.setattr(FMIndex, "_down", lambda *args: steps.append(1) or down(*args))
+    for s, mask in zip(sequences, index.repeated(window), strict=True):
+        assert mask == sum(1 << i for i in range(len(s) - window + 1) if seen[tuple(s[i : i + window])] > 1)
+    assert len(steps) == 2 * (window - depth)  # for all windows of all sequences at once
+
+
 def test_segments_hold_every_window_once_and_equal_windows_share_a_key():
     rng = random.Random(4)
     marks = np.zeros(1 << 22, bool)
