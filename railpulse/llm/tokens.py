@@ -23,7 +23,7 @@ from railpulse.session import shared_folder
 
 END = 1
 SHARD_TOKENS = 1 << 20
-_ROWS, _BYTES = 1000, 4 << 20  # of documents encoded at once; a longer text comes alone
+_ROWS, _BYTES = 1000, 2 << 20  # of documents encoded at once; a longer text comes alone
 #: Distinct words whose ids a worker keeps from task to task. Twice as many are held at
 #: most: the older half goes when the newer is full, but for words met again since.
 CACHED_WORDS = 400_000
@@ -144,6 +144,17 @@ def _pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first)
 
 
+def _encoded_pieces(
+    encode: Encoder, batch: pa.RecordBatch, most: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """(all ids, number of ids of each text, doc_ids) of the pieces of (doc_id, text) rows."""
+    for rows in _pieces(batch, most):
+        values, sizes = encode.encode(rows.column(1))
+        yield values, sizes, rows.column(0)
+        # Else the pool keeps what the words of a piece took, in every worker.
+        pa.default_memory_pool().release_unused()
+
+
 def write_shards(
     docs: DataFrame,
     tokenizer: str,
@@ -197,13 +208,12 @@ def write_shards(
 
         held = 0
         for batch in batches:
-            for rows in _pieces(batch, min(_BYTES, 4 * shard_tokens)):
-                values, sizes = encode.encode(rows.column(1))
+            for values, sizes, of in _encoded_pieces(encode, batch, min(_BYTES, 4 * shard_tokens)):
                 at = np.cumsum(sizes)
                 values = np.insert(values, at, end)
                 ids.append(values)
                 lengths.append(sizes + 1)
-                names.append(rows.column(0))
+                names.append(of)
                 held += len(values)
                 if held >= shard_tokens:
                     yield shard()

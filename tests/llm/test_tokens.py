@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from railpulse.llm import tokens
 from railpulse.llm.queries import REGISTRY, TOKENIZER
 from railpulse.llm.tokens import Encoder, encoded, write_shards
 from railpulse.llm.wavelet import WaveletMatrix
@@ -35,6 +37,19 @@ def test_wavelet_matrix(levels, n):
         matrix.occurrence(0, n)
 
 
+def test_each_piece_returns_what_arrow_held(monkeypatch):
+    released, pool = [], pa.default_memory_pool()
+    counting = SimpleNamespace(release_unused=lambda: released.append(pool.release_unused()))
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", lambda: counting)
+    encoder = Encoder(open(PATH, encoding="utf-8").read())
+    texts = ["some words of a text " * 9, None, "", "more of them"] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], names=["doc_id", "text"])
+    got = list(tokens._encoded_pieces(encoder, batch, 200))
+    assert len(released) == len(got) > 3
+    assert [i for _, _, ids in got for i in ids.to_pylist()] == list(range(20))
+    assert np.concatenate([v for v, _, _ in got]).tolist() == encoder.encode(pa.array(texts))[0].tolist()
+
+
 def test_words_encode_as_whole_texts():
     text = Tokenizer.from_file(PATH)
     encoder = Encoder(open(PATH, encoding="utf-8").read())
