@@ -7,7 +7,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from railpulse.sinks.tables import append, held
-from railpulse.sources.envelopes import Envelope, opened, refusals, rejects_of, rows_of
+from railpulse.sources.envelopes import (
+    Envelope,
+    as_text,
+    opened,
+    refusals,
+    rejects_of,
+    rows_of,
+    text_rows,
+)
 
 
 def land(
@@ -23,14 +31,15 @@ def land(
     """Append the items of landed documents, made into bronze rows, to a table.
 
     Each document is parsed once. Without ``rejects`` a refused document fails the write,
-    so nothing of its batch is committed. With it, items and refused documents are written
-    once to the shared folder and from there to the table and to ``rejects``.
+    so nothing of its batch is committed. With it, items, as text already, and refused
+    documents are written once to the shared folder and from there to the table and to
+    ``rejects``.
     """
     if rejects is None:
         with refusals():
             rows = rows_of(opened(documents, kind, strict=True), kind)
             append(bronze(rows), root, partition_by=partition_by, format=format)
         return
-    with held(opened(documents, kind), "opened") as found:
-        append(bronze(rows_of(found, kind)), root, partition_by=partition_by, format=format)
+    with held(as_text(opened(documents, kind), kind), "opened") as found:
+        append(bronze(text_rows(found)), root, partition_by=partition_by, format=format)
         append(rejects_of(found), rejects, format=format)

@@ -154,21 +154,45 @@ def opened(
     )
 
 
-def rows_of(found: DataFrame, kind: Envelope) -> DataFrame:
-    """The accepted items of ``opened`` as text columns; fields without a column, nulls
-    included, stay together in ``other_fields``."""
-    keep = [c for c in found.columns if c not in ("item", "reason", "body")]
-    every = F.try_variant_get("item", "$", "map<string, variant>")
+def _text_columns(kind: Envelope) -> list[Column]:
+    """The fields of ``item``, a map of variants, as text."""
     item = F.col("item")
     others = F.map_filter(item, lambda name, _: ~name.isin(*kind.fields))
     more = F.size(F.array_except(F.map_keys(item), F.array(*map(F.lit, kind.fields)))) > 0
-    return found.where("item is not null").select(*keep, every.alias("item")).select(
-        *keep,
+    return [
         *(item[name].try_cast("string").alias(name) for name in kind.fields),
         F.when(more, F.to_json(others, {"ignoreNullFields": "false"})).alias(OTHER_FIELDS),
+    ]
+
+
+def _fields_of_item() -> Column:
+    return F.try_variant_get("item", "$", "map<string, variant>").alias("item")
+
+
+def rows_of(found: DataFrame, kind: Envelope) -> DataFrame:
+    """The accepted items of ``opened`` as text columns; fields without a column, nulls
+    included, stay together in ``other_fields``."""
+    keep = [c for c in found.columns if c not in ("item", "reason", "body")]
+    items = found.where("item is not null").select(*keep, _fields_of_item())
+    return items.select(*keep, *_text_columns(kind))
+
+
+def as_text(found: DataFrame, kind: Envelope) -> DataFrame:
+    """``opened`` with the columns of :func:`rows_of` as a struct in place of each variant:
+    smaller to store than variants, which repeat their field names, and read back as it is."""
+    keep = [c for c in found.columns if c != "item"]
+    there = F.col("item").isNotNull().alias("_there")
+    return found.select(*keep, there, _fields_of_item()).select(
+        *keep, F.when(F.col("_there"), F.struct(*_text_columns(kind))).alias("item")
     )
 
 
+def text_rows(found: DataFrame) -> DataFrame:
+    """The accepted items of :func:`as_text`, column by column."""
+    keep = [c for c in found.columns if c not in ("item", "reason", "body")]
+    return found.where("item is not null").select(*keep, "item.*")
+
+
 def rejects_of(found: DataFrame) -> DataFrame:
     """The refused documents of ``opened``: kept columns, body, reason."""
     keep = [c for c in found.columns if c not in ("item", "reason", "body")]

@@ -205,3 +205,41 @@ def test_fields_without_a_column_are_landed(spark, lake):
     A.land_snapshot(spark.createDataFrame([(json.dumps(doc),)], "body string"), lake, F.lit(at("2024-01-05 10:00:00")))
     landed = read_table(spark, lake.bronze_arrivals).first()
     assert json.loads(landed.other_fields) == {"ordkey": "01", "subwayList": "1001,1002", "gone": None}
+
+
+def test_items_are_stored_as_text_between_parse_and_table(spark, folder, monkeypatch):
+    from catalog import queries
+    from railpulse.plans import landing
+    from railpulse.sources.envelopes import USAGE, opened, rows_of
+
+    def page(*items, code="INFO-000"):
+        return json.dumps({"CardSubwayStatsNew": {"RESULT": {"CODE": code, "MESSAGE": "m"}, "row": list(items)}})
+
+    docs = spark.createDataFrame(
+        [
+            (1, page({"USE_YMD": "20240105", "GTON_TNOPE": 1.50, "more": {"a": [1]}}, {"REG_YMD": None}, 7)),
+            (2, page({"USE_YMD": "20240106"}, code="INFO-200")),
+            (3, page()),
+            (4, "no json"),
+        ],
+        "n int, body string",
+    )
+    stored, held = [], landing.held
+    monkeypatch.setattr(landing, "held", lambda df, label: stored.append(df) or held(df, label))
+    root, refused = folder("bronze"), folder("refused")
+    landing.land(docs, USAGE, lambda found: found, root, partition_by=("n",), rejects=refused)
+    assert "variant" not in str(dict(stored[0].dtypes))
+    expected = rows_of(opened(docs, USAGE), USAGE)
+    assert len(rows(expected)) == 3
+    assert rows(read_table(spark, root), *expected.columns) == rows(expected)
+    assert rows(read_table(spark, refused), "n", "reason") == [(2, "INFO-200 m"), (4, "no usage envelope")]
+
+    # Rows are dealt out before they are made JSON, not after.
+    lineitem = spark.createDataFrame(
+        [(1, 2, 3, 4.0, 0.01, "A", "F", at("1994-01-01 00:00:00"))],
+        "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    )
+    monkeypatch.setattr(queries.I, "table", lambda *_: lineitem)
+    plan = queries._usage_pages(spark, "")._jdf.queryExecution().analyzed().toString()
+    assert 0 <= plan.index("to_json") < plan.index("RebalancePartitions")
