@@ -21,13 +21,15 @@ from railpulse.functions.times import (
     window_ending_at,
 )
 from railpulse.operators.percentiles import (
+    MEAN,
+    N,
+    PERCENTILE,
     ROWS,
     count_values,
     mean_from_counts,
-    percentile_from_counts,
     percentile_of_histogram,
     share_of_rows,
-    with_running_counts,
+    stats_from_counts,
 )
 
 TIME_COLUMNS = ("event_time", "snapshot_ts")
@@ -187,18 +189,17 @@ def window_metrics(
 def _from_counts(
     counts: DataFrame, group: Sequence[str], long_wait_sec: int, percentile: float
 ) -> DataFrame:
-    return (
-        with_running_counts(counts, group, WAIT)
-        .groupBy(*group)
-        .agg(
-            F.sum(ROWS).alias("n"),
-            mean_from_counts(WAIT).alias("avg_eta_sec"),
-            percentile_from_counts(WAIT, percentile).alias("p90_eta_sec"),
-            share_of_rows(
-                F.when(F.col(WAIT) >= long_wait_sec, F.col(ROWS)).otherwise(0)
-            ).alias("long_ratio_10m"),
-            any_true(F.col(_LAST)).alias("last_train_seen"),
-        )
+    extra = {
+        "_long": F.sum(F.when(F.col(WAIT) >= long_wait_sec, F.col(ROWS)).otherwise(0)),
+        _LAST: F.bool_or(_LAST),
+    }
+    return stats_from_counts(counts, group, WAIT, percentile, extra).select(
+        *group,
+        F.col(N).alias("n"),
+        F.col(MEAN).alias("avg_eta_sec"),
+        F.col(PERCENTILE).alias("p90_eta_sec"),
+        F.try_divide("_long", N).alias("long_ratio_10m"),
+        F.coalesce(_LAST, F.lit(False)).alias("last_train_seen"),
     )
 
 

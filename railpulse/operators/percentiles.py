@@ -9,7 +9,7 @@ second, and the percentile is read off the running count. The result is exact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,10 @@ from pyspark.sql.window import Window
 ROWS = "_rows"
 _UP_TO = "_up_to"
 _KNOWN = "_known"
+_SUM = "_sum"
+_PLACE = "_place_in_group"
+#: Columns of :func:`stats_from_counts`.
+N, MEAN, PERCENTILE = "_n", "_mean", "_percentile"
 
 
 def count_values(
@@ -28,25 +32,51 @@ def count_values(
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(ROWS), *extra)
 
 
-def with_running_counts(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Add what :func:`percentile_from_counts` needs: known rows up to the value, and
-    all known rows of the group. Unknown values come last and are not counted."""
-    group = Window.partitionBy(*keys)
-    ascending = group.orderBy(F.col(value).asc_nulls_last())
+def stats_from_counts(
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    share: float,
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """One row per group of :func:`count_values`: keys, :data:`N`, :data:`MEAN` and
+    :data:`PERCENTILE`, the least value that the given share of known rows does not exceed,
+    with further plain aggregates over the counts. Unknown values count in N alone.
+
+    Groups are sorted once, for the running count; the aggregates read them in that order and
+    a group's first row is kept. So a task holds its sorted rows and nothing else: an
+    aggregation after the running count would hold all groups of the task twice more, in
+    the hash tables of its two halves.
+    """
+    exact = Fraction(str(share))
+    ascending = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    running = ascending.rowsBetween(Window.unboundedPreceding, 0)
+    whole = ascending.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     known = F.when(F.col(value).isNotNull(), F.col(ROWS))
-    return counts.withColumns(
+    extra = extra or {}
+    placed = counts.withColumns(
         {
-            _UP_TO: F.sum(ROWS).over(ascending.rowsBetween(Window.unboundedPreceding, 0)),
-            _KNOWN: F.sum(known).over(group),
+            _UP_TO: F.sum(ROWS).over(running),
+            _KNOWN: F.sum(known).over(whole),
+            _PLACE: F.row_number().over(ascending),
         }
     )
-
-
-def percentile_from_counts(value: str, share: float) -> Column:
-    """Aggregate: the least value that the given share of known rows does not exceed."""
-    exact = Fraction(str(share))
+    # In a step of their own, so that what they sum is made after the sort, not sorted.
     reached = F.col(_UP_TO) * exact.denominator >= F.col(_KNOWN) * exact.numerator
-    return F.min(F.when(reached, F.col(value))).cast("bigint")
+    parts = {
+        N: F.sum(ROWS),
+        _SUM: F.sum(F.col(value) * F.col(ROWS)),
+        PERCENTILE: F.min(F.when(reached, F.col(value))),
+        **{f"_x_{name}": part for name, part in extra.items()},
+    }
+    told = placed.withColumns({name: part.over(whole) for name, part in parts.items()})
+    return told.where(F.col(_PLACE) == 1).select(
+        *keys,
+        N,
+        F.try_divide(_SUM, _KNOWN).alias(MEAN),
+        F.col(PERCENTILE).cast("bigint").alias(PERCENTILE),
+        *(F.col(f"_x_{name}").alias(name) for name in extra),
+    )
 
 
 def percentile_of_histogram(histogram: Column, value: str, share: float) -> Column:

@@ -115,3 +115,30 @@ def test_range_reaches_the_scan(spark, folder):
     plan = plan_of(M.window_metrics(stored, at("2024-01-01 10:05:00"), time_columns=("event_time",)))
     assert "GreaterThanOrEqual(event_time" in plan and "LessThan(event_time" in plan
     assert "train_status" not in plan
+
+
+def test_no_group_table_is_held_beside_the_sorted_rows(spark):
+    """What follows the running count reads its order: no aggregation comes after it."""
+    from railpulse.operators.stations import enrich_events, station_kpi
+
+    given = arrivals(
+        spark,
+        *({"event_time": "2024-01-05 10:01:00", "arrival_seconds": w, "is_last_train": w == 700} for w in (700, 700, 30)),
+        {"event_time": "2024-01-05 10:02:00"},
+        {"event_time": "2024-01-05 10:02:00", "station_id": None, "station_name": None},
+    )
+    sliding = M.sliding_metrics(M.with_event_time(given), minutes=5, slide=5)
+    kpi = station_kpi(enrich_events(given, null_wait="ignore"))
+    for df in (sliding, kpi):
+        above = plan_of(df).split("Window [")[0]
+        assert "Aggregate" not in above
+    names = ("station_name", "n", "avg_eta_sec", "p90_eta_sec", "long_ratio_10m", "last_train_seen")
+    assert rows(sliding, *names) == [
+        (None, 1, None, None, 0.0, False),
+        ("A", 4, 1430 / 3, 700, 0.5, True),
+    ]
+    names = ("station_name", "total_events", "avg_wait_sec", "p95_wait_sec", "last_train_dt", "last_train_wait_sec")
+    assert rows(kpi, *names) == [
+        (None, 1, None, None, None, None),
+        ("A", 4, 1430 / 3, 700, at("2024-01-05 10:01:00"), 700.0),
+    ]
