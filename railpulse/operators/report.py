@@ -108,6 +108,7 @@ def painful_stations(
     k: int = S.TOP_K,
     within: Sequence[str] = (),
     position: str | None = None,
+    kept: bool = False,
 ) -> DataFrame:
     """The k worst pairs of station KPI and ridership rows that share a station.
 
@@ -121,12 +122,16 @@ def painful_stations(
     best is below takes no further part. Of the others a pair of the first k joins one of
     the k highest or k lowest waits with one of the k highest or k lowest riderships, the
     lowest only where a value is below 0: at most 4 * k * k pairs per station.
+
+    Both frames are read twice. They are stored for that, unless they are ``kept``, that is
+    read from tables as they are.
     """
     station = [*within, "station_name"]
     waits = select_existing(kpi, [*within, *WAIT_COLUMNS]).where("station_name is not null")
     riders = _bound(usage, within).select(*station, "totalNope").where("station_name is not null")
 
-    waits, riders = stored(waits, "waits"), stored(riders, "riders")  # each is read twice
+    if not kept:
+        waits, riders = stored(waits, "waits"), stored(riders, "riders")
 
     def reduced(rows: DataFrame, measure: str, name: str) -> DataFrame:
         return rows.groupBy(*station).agg(
@@ -274,11 +279,13 @@ def _as_list(section: DataFrame, order: str, name: str, drop_order: bool = True)
     return section.groupBy(REPORT_DAY).agg(items.alias(name))
 
 
-def report_context(kpi: DataFrame, usage: DataFrame, *, k: int = S.TOP_K) -> DataFrame:
+def report_context(
+    kpi: DataFrame, usage: DataFrame, *, k: int = S.TOP_K, kept: bool = False
+) -> DataFrame:
     """One row per report day: target_ymd, nested usage and arrival sections, has_data.
 
     Both inputs carry ``report_date``. A day present on one side only has
-    ``has_data`` false, and no lists, on the other.
+    ``has_data`` false, and no lists, on the other. ``kept``: see :func:`painful_stations`.
     """
     day = (REPORT_DAY,)
     ranked = {"k": k, "within": day, "position": "position"}
@@ -301,7 +308,9 @@ def report_context(kpi: DataFrame, usage: DataFrame, *, k: int = S.TOP_K) -> Dat
             _as_list(
                 line_usage_stats(usage, within=day), "line_name", "line_usage_stats", drop_order=False
             ),
-            _as_list(painful_stations(kpi, usage, **ranked), "position", "painful_stations"),
+            _as_list(
+                painful_stations(kpi, usage, kept=kept, **ranked), "position", "painful_stations"
+            ),
         ]
     for section in sections:
         context = context.join(section, REPORT_DAY, "left")

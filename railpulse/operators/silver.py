@@ -56,9 +56,13 @@ def silver_arrivals(
 
 
 def latest_usage(bronze: DataFrame) -> DataFrame:
-    """Newest registration of each (day, station, line)."""
+    """Newest registration of each (day, station, line).
+
+    Rows are sorted by these keys, the station first: a sort compares the first eight bytes
+    at once, and these tell stations apart but hardly days, which are few.
+    """
     version = [c for c in (S.USAGE_VERSION, S.USAGE_RUN) if c in bronze.columns]
-    return keep_latest(bronze, (S.USAGE_DAY, S.USAGE_STATION, S.USAGE_LINE), version)
+    return keep_latest(bronze, (S.USAGE_STATION, S.USAGE_DAY, S.USAGE_LINE), version)
 
 
 def silver_usage(

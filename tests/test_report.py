@@ -144,3 +144,22 @@ def test_pairs_are_pruned_before_the_join(spark):
     plan = plan_of(Rp.painful_stations(kpi(spark, ("A", 1, 1.0)), usage(spark, ("A", "1", 5))))
     assert plan.count("WindowGroupLimit") >= 4
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_tables_read_as_they_are_are_not_stored_again(spark, monkeypatch):
+    kpi = spark.createDataFrame(
+        [("A", 1, 100.0, 100, 0.5), ("B", 1, 300.0, 300, 1.0)],
+        "station_name string, line_id long, avg_wait_sec double, p95_wait_sec long, "
+        "long_wait_ratio_5 double",
+    )
+    usage = spark.createDataFrame(
+        [("A", "1", 900), ("B", "1", 100), ("B", "2", None)],
+        "stnNm string, lineNm string, totalNope long",
+    )
+    labels, stored = [], Rp.stored
+    monkeypatch.setattr(Rp, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    again = rows(Rp.painful_stations(kpi, usage))
+    assert {"waits", "riders"} <= set(labels)
+    labels.clear()
+    assert rows(Rp.painful_stations(kpi, usage, kept=True)) == again and len(again) == 3
+    assert not {"waits", "riders"} & set(labels)

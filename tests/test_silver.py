@@ -139,3 +139,21 @@ def test_keep_latest_property(spark, data):
     for k, version, v in data:
         best[k] = max(best.get(k, (-1, -1)), (version, v))
     assert rows(ranking.keep_latest(df, ["k"], ["version"])) == sorted((k, *b) for k, b in best.items())
+
+
+def test_latest_usage_sorts_stations_first(spark):
+    """A sort tells rows apart by the first eight bytes of its first column, where it can."""
+    df = usage(
+        spark,
+        ("20240101", "A", "1", "20240104", "r1", "1", "1"),
+        ("20240101", "A", "1", "20240105", "r1", "2", "1"),
+        ("20240102", "A", "1", "20240105", "r1", "3", "1"),
+        ("20240101", None, "1", None, "r1", "4", "1"),
+        ("20240101", None, "1", "20240104", None, None, "1"),
+    )
+    latest = silver.latest_usage(df)
+    assert rows(latest, "USE_YMD", "SBWY_STNS_NM", "GTON_TNOPE") == [
+        ("20240101", None, None), ("20240101", "A", "2"), ("20240102", "A", "3")
+    ]
+    first = plan_of(latest).split("Sort [")[1]
+    assert first.startswith("SBWY_STNS_NM")
