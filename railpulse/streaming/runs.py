@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,32 @@ def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
+WIDTH = "spark.sql.shuffle.partitions"
+
+
+def state_width(spark: SparkSession, per_core: int = 8) -> int:
+    """State partitions for the cores at hand, at most the session's shuffle width.
+
+    Adaptive execution cannot merge state partitions. Each costs a task and files in every
+    batch and for every stateful operator, with rows or without; so a few to a core do.
+    """
+    return min(int(spark.conf.get(WIDTH)), per_core * spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """A stream started inside is given that many; it copies the session's settings."""
+    if number is None:
+        yield
+        return
+    before = spark.conf.get(WIDTH)
+    spark.conf.set(WIDTH, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(WIDTH, before)
+
+
 def write_files(
     stream: DataFrame,
     root: str,
@@ -26,10 +53,13 @@ def write_files(
     *,
     partition_by: Sequence[str] = (),
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to Parquet, each row once even over restarts.
 
     ``every`` is a trigger interval; without it the run takes what is there and ends.
+    ``state_partitions`` is for the first start, by default the session's shuffle width; the
+    checkpoint keeps the number.
     """
     writer = (
         stream.writeStream.format("parquet")
@@ -39,7 +69,8 @@ def write_files(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start(root)
+    with _state_partitions(stream.sparkSession, state_partitions):
+        return writer.start(root)
 
 
 def for_each_batch(
@@ -49,14 +80,17 @@ def for_each_batch(
     *,
     mode: str = "append",
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    return (
+    """Hand each batch to ``write``; the other options are those of :func:`write_files`."""
+    writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
         .foreachBatch(write)
-        .start()
     )
+    with _state_partitions(stream.sparkSession, state_partitions):
+        return writer.start()
 
 
 def window_replacer(

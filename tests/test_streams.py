@@ -306,3 +306,22 @@ def test_documents(spark, folder):
     for _ in range(2):
         Ms.write_documents(docs, folder("docs"))
     assert rows(spark.read.text(folder("docs")), "value") == [('{"a":1}',)]
+
+
+def test_state_partitions_follow_the_cores(spark, folder):
+    rows_in = spark.createDataFrame([(i % 3, at("2024-01-01 10:00:00")) for i in range(9)], "k int, t timestamp")
+    rows_in.write.parquet(folder("in"))
+    stream = spark.readStream.schema(rows_in.schema).parquet(folder("in"))
+    counts = stream.withWatermark("t", "0 seconds").groupBy("t", "k").count()
+    before = spark.conf.get(runs.WIDTH)
+    try:
+        spark.conf.set(runs.WIDTH, "200")
+        assert runs.state_width(spark, per_core=1) == spark.sparkContext.defaultParallelism
+        run = runs.write_files(counts, folder("out"), folder("state"), state_partitions=3)
+        assert spark.conf.get(runs.WIDTH) == "200"
+        run.awaitTermination()
+        assert [o["numShufflePartitions"] for o in run.lastProgress["stateOperators"]] == [3]
+        spark.conf.set(runs.WIDTH, "2")
+        assert runs.state_width(spark) == 2
+    finally:
+        spark.conf.set(runs.WIDTH, before)
