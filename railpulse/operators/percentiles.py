@@ -99,7 +99,10 @@ def percentile_of_histogram(histogram: Column, value: str, share: float) -> Colu
         (total * exact.numerator).alias("goal"),
         F.lit(None).cast("bigint").alias("found"),
     )
-    return F.aggregate(F.array_sort(histogram), start, step, lambda s: s["found"])
+    found = F.aggregate(F.array_sort(histogram), start, step, lambda s: s["found"])
+    # Many groups hold one value, which is every percentile of theirs.
+    only = F.get(histogram, F.lit(0))[value].cast("bigint")
+    return F.when(F.size(histogram) < 2, only).otherwise(found)
 
 
 def mean_from_counts(value: str, rows: str = ROWS) -> Column:

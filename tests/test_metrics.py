@@ -142,3 +142,13 @@ def test_no_group_table_is_held_beside_the_sorted_rows(spark):
         (None, 1, None, None, None, None),
         ("A", 4, 1430 / 3, 700, at("2024-01-05 10:01:00"), 700.0),
     ]
+
+
+def test_percentile_of_histograms_of_any_size(spark):
+    from railpulse.operators.percentiles import percentile_of_histogram
+
+    given = [(1, []), (2, [(7, 3)]), (3, [(9, 1), (7, 9)]), (4, [(9, 2), (7, 9)]), (5, [(7, 5), (9, 1), (7, 5)])]
+    df = spark.createDataFrame(given, "n int, h array<struct<arrival_seconds: long, _rows: long>>")
+    share = percentile_of_histogram(F.col("h"), "arrival_seconds", 0.9)
+    assert str(share).index("CASE WHEN") < str(share).index("aggregate")  # one value is not walked
+    assert rows(df.select("n", share.alias("p"))) == [(1, None), (2, 7), (3, 7), (4, 9), (5, 7)]
