@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -30,7 +29,9 @@ CACHED_WORDS = 400_000
 
 #: A run of Latin letters and ASCII marks after it. An apostrophe may begin a contraction,
 #: which is cut otherwise.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = r"^(?P<run>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+_RUN = re.compile("[a-zß-öø-ÿ]+")
+_LONG = 200  # bytes from which a word is encoded whole
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,6 +46,17 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"={len(ids)}I", *ids)
 
 
+def _gathered(
+    flat: np.ndarray, sizes: np.ndarray, of: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(values of the groups ``of`` in turn, their sizes); ``flat`` holds the groups in a row."""
+    first = (np.cumsum(sizes) - sizes)[of]
+    sizes = sizes[of]
+    ends = np.cumsum(sizes)
+    at = np.repeat(first - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+    return flat[at], sizes
+
+
 class Encoder:
     """Token ids of texts, each distinct word encoded once.
 
@@ -66,35 +78,46 @@ class Encoder:
         return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
-        """Ids of one run of Latin letters, straight from the model."""
-        if (ids := self._kept(word)) is None:
-            shown = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
-            ids = self.known[word] = _packed([t.id for t in self.model.tokenize(shown)])
-        return ids
-
-    def _kept(self, word: str) -> bytes | None:
-        if (ids := self.known.get(word)) is None and (ids := self.older.get(word)) is not None:
-            self.known[word] = ids
-        return ids
-
-    def word(self, word: str) -> bytes:
-        """Ids of a stretch without plain spaces and line ends."""
-        if (ids := self._kept(word)) is None:
-            simple = _SIMPLE.fullmatch(word)
-            if simple and len(word) < 200 and unicodedata.is_normalized("NFC", word):
-                run, marks = simple.groups()
-                ids = self._letters(run.lower())
-                if marks:
-                    ids = ids + self.marks(marks)
-            else:
-                ids = self._whole(word)
-            self.known[word] = ids
+        """Ids of a run of Latin letters in lower case, straight from the model."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.model.tokenize(word)])
+
+    def _missing(self, word: str) -> bytes:
+        if (ids := self.older.get(word)) is None:
+            run = len(word) < _LONG and _RUN.fullmatch(word)
+            ids = self._letters(word) if run else self._whole(word)
+        self.known[word] = ids
         return ids
 
-    def marks(self, marks: str) -> bytes:
-        if (ids := self._kept(marks)) is None:
-            ids = self.known[marks] = self._whole(marks)
-        return ids
+    def _each(self, words: pa.Array) -> list[bytes]:
+        """Ids of stretches without plain spaces and line ends."""
+        words = words.to_numpy(zero_copy_only=False).tolist()
+        each = list(map(self.known.get, words))
+        for i, ids in enumerate(each):
+            if ids is None:
+                each[i] = self._missing(words[i])
+        return each
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each word) of distinct words.
+
+        Words of letters and marks are cut there: few runs in lower case, and fewer kinds
+        of marks, make up many words.
+        """
+        cut = pc.extract_regex(words, _SIMPLE)
+        simple = pc.and_(cut.is_valid(), pc.less(pc.binary_length(words), _LONG))
+        run, marks = cut.field("run"), cut.field("marks")
+        run = pc.if_else(simple, pc.utf8_lower(run), words).dictionary_encode()
+        marks = pc.if_else(simple, marks, "").dictionary_encode()
+        each = self._each(run.dictionary)
+        of = np.empty(2 * len(words), np.int64)
+        of[::2] = run.indices.to_numpy()
+        of[1::2] = marks.indices.to_numpy() + len(each)
+        each += self._each(marks.dictionary)
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        ids, sizes = _gathered(np.frombuffer(b"".join(each), np.uint32), sizes, of)
+        return ids, sizes[::2] + sizes[1::2]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
@@ -103,22 +126,10 @@ class Encoder:
         words = split.flatten().dictionary_encode()
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
-        distinct = words.dictionary.to_pylist()
-        each = list(map(self.known.get, distinct))
-        for i, ids in enumerate(each):
-            if ids is None:
-                each[i] = self.word(distinct[i])
-        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
-        flat = np.frombuffer(b"".join(each), np.uint32)
-        of = words.indices.to_numpy(zero_copy_only=False)
-        sizes = size[of]
-        ends = np.cumsum(sizes)
-        at = np.repeat((first[of] - (ends - sizes)), sizes) + np.arange(int(sizes.sum()))
-        ends = np.concatenate([[0], ends])
+        ids, sizes = _gathered(*self._distinct(words.dictionary), words.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(sizes)])
         bounds = split.offsets.to_numpy()
-        bounds = bounds - bounds[0]
-        return flat[at], np.diff(ends[bounds])
+        return ids, np.diff(ends[bounds - bounds[0]])
 
 
 _ENCODERS: dict[int, Encoder] = {}

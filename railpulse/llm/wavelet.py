@@ -68,7 +68,7 @@ class WaveletMatrix:
             ones = (current >> level & 1).astype(bool)
             planes.append(Plane(np.packbits(ones), len(current)))
             zeros.append(int(len(current) - np.count_nonzero(ones)))
-            current = np.concatenate([current[~ones], current[ones]])
+            current = np.concatenate([current.compress(~ones), current.compress(ones)])
         return cls(len(current), levels, planes, zeros)
 
     def values(self) -> np.ndarray:

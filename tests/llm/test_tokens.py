@@ -65,6 +65,19 @@ def test_words_encode_as_whole_texts():
         assert ids[a:b].tolist() == text.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+def test_words_are_looked_up_as_runs_and_marks():
+    text = Tokenizer.from_file(PATH)
+    encoder = Encoder(open(PATH, encoding="utf-8").read())
+    runs = ["many", "MANY", "Many", "élan", "ÉLAN", "straße", "a" * 199, "a" * 200, "b" * 198, "é" * 100]
+    texts = [" ".join(r + m for r in runs) for m in ["", ",", ".", "!?", ";", '"', ")."]]
+    ids, sizes = encoder.encode(pa.array(texts))
+    assert sizes.tolist() == [len(text.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert ids.tolist() == [i for t in texts for i in text.encode(t, add_special_tokens=False).ids]
+    words = {w for t in texts for w in t.split()}
+    assert len([w for w in encoder.known if len(w) < 90]) < 15 < len(words)
+    assert {"many", ",", "élan"} <= set(encoder.known) and "Many," not in encoder.known
+
+
 def expected(rows):
     text = Tokenizer.from_file(PATH)
     out, start = [], 0
